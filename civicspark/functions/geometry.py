@@ -20,7 +20,7 @@ def make_point(x: Column | str, y: Column | str) -> Column:
 
 def number_text(value: Column) -> Column:
     """A double in plain notation, without trailing zeros."""
-    return F.regexp_replace(F.format_string("%.15f", value), r"\.?0+$", "")
+    return F.regexp_replace(F.format_string("%.20f", value), r"\.?0+$", "")
 
 
 def point_text(point: Column | str) -> Column:

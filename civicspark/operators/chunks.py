@@ -51,7 +51,7 @@ def chunk_codes(
     numbered = number_in_order(codes, "code").withColumn(
         "chunk", F.floor(F.col("position") / size).cast("long")
     )
-    members = F.sort_array(F.collect_list(F.struct("position", F.col("code").cast("string"))))
+    members = F.sort_array(F.collect_list(F.struct("position", F.col("code").cast("string").alias("code"))))
     return (
         numbered.groupBy("chunk")
         .agg(members.alias("__members"), F.count(F.lit(1)).alias("n_codes"))

@@ -179,7 +179,9 @@ def run_full_etl(
         report.run("lsoa_2021_pwc", "fail", lambda: clean(
             "lsoa_2021_pwc", add_geometry_column(transform_lsoa_pwc(raw["lsoa_2021_pwc"]))))
         la_codes = get_ca_la_codes(report.tables["ca_la_lookup"])
-        lsoa_codes = small_areas or distinct_values(report.tables["lsoa_2021_pwc"], "lsoa21cd")
+        lsoa_codes = small_areas
+        if lsoa_codes is None:
+            lsoa_codes = distinct_values(report.tables["lsoa_2021_pwc"], "lsoa21cd")
     report.run("ghg_emissions", "skip", lambda: clean(
         "ghg_emissions", transform_ghg_emissions(raw["ghg_emissions"], la_codes)))
     report.run("dft_la_lookup", "skip", lambda: clean(

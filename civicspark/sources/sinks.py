@@ -21,8 +21,12 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """K3: a folder of CSV parts, each with the header; quotes inside a field are doubled."""
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    """K3: a folder of CSV parts, each with the header; quotes inside a field are doubled
+    and blanks at its ends are kept."""
+    df.write.mode("overwrite").csv(
+        path, header=True, quote='"', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def export_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
