@@ -110,7 +110,7 @@ def code_list_file(spark, sf_dir):
 
 
 def _land_documents(
-    df: DataFrame, path: str, key: str, per_page: int = 500, **members: str
+    df: DataFrame, path: str, key: str, per_page: int = 2000, **members: str
 ) -> None:
     """Land rows as JSON documents ``{"features": [...]}``, a bounded number to a document.
 

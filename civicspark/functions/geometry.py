@@ -33,34 +33,29 @@ def point_text(point: Column | str) -> Column:
     )
 
 
-def _ring(text: Column) -> Column:
-    pairs = F.transform(F.split(text, ","), lambda pair: F.split(F.trim(pair), r"\s+"))
-    return F.transform(
-        pairs,
-        lambda xy: F.struct(
-            F.try_element_at(xy, F.lit(1)).try_cast("double").alias("x"),
-            F.try_element_at(xy, F.lit(2)).try_cast("double").alias("y"),
-        ),
-    )
-
-
-def _polygon(text: Column) -> Column:
-    return F.transform(
-        F.split(text, r"\)\s*,\s*\("),
-        lambda ring: _ring(F.regexp_replace(ring, r"[()]", "")),
-    )
+_GEOMETRY = "kind string, parts array<array<array<struct<x:double,y:double>>>>"
+_PAIR = r"([^\s,()]+)\s+([^\s,()]+)(?:\s+[^\s,()]+)*"
 
 
 def parse_wkt(text: Column | str) -> Column:
-    """POINT, LINESTRING, POLYGON and MULTIPOLYGON text to nested coordinates."""
-    text = F.trim(_col(text).cast("string"))
-    kind = F.upper(F.regexp_extract(text, r"^([A-Za-z]+)", 1))
-    body = F.regexp_extract(text, r"(?s)^[A-Za-z]+\s*\((.*)\)$", 1)
-    polygons = F.split(body, r"\)\s*\)\s*,\s*\(\s*\(")
-    return F.when(
-        body != "",
-        F.struct(kind.alias("kind"), F.transform(polygons, _polygon).alias("parts")),
+    """POINT, LINESTRING, POLYGON and MULTIPOLYGON text to nested coordinates.
+
+    The text becomes a JSON document (pairs to objects, parentheses to brackets) for one
+    native parse.  Ordinates after the second are left out.  Text without parentheses
+    gives NULL, text with malformed coordinates a geometry of NULL parts.
+    """
+    text = _col(text).cast("string")
+    start = F.instr(text, "(")
+    kind = F.upper(F.trim(F.substring_index(text, "(", 1)))
+    pairs = F.regexp_replace(text.substr(start, F.length(text)), _PAIR, '{"x":$1,"y":$2}')
+    nested = F.translate(pairs, "()", "[]")
+    missing = F.when(kind.startswith("MULTIPOLYGON"), "").when(kind.startswith("POLYGON"), "[")
+    opening = missing.otherwise("[[")
+    document = F.concat(
+        F.lit('{"kind":"'), kind, F.lit('","parts":'),
+        opening, nested, F.translate(opening, "[", "]"), F.lit("}"),
     )
+    return F.from_json(F.when(start > 0, document), _GEOMETRY)
 
 
 def first_point(geometry: Column | str) -> Column:

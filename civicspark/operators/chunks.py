@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.operators.columns import quoted
+from civicspark.operators.columns import quoted, ticked
 from civicspark.session import cut_lineage
 
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
@@ -39,7 +39,7 @@ def number_in_order(df: DataFrame, column: str, name: str = "position") -> DataF
     return (
         pinned.join(starts, "__part")
         .withColumn(name, F.col("__start") + F.col("__place"))
-        .select([quoted(c) for c in df.columns] + [F.col(name)])
+        .select(*[ticked(c) for c in df.columns], name)
     )
 
 

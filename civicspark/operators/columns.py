@@ -11,15 +11,22 @@ from pyspark.sql import functions as F
 from civicspark.operators.quality import require_columns
 
 
+def ticked(name: str) -> str:
+    """A literal column name as an identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by its literal name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its literal name."""
+    return F.col(ticked(name))
 
 
 def select_layout(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:
     """Project to a published layout, given as target name -> source column."""
     require_columns(df, layout.values())
-    return df.select([quoted(source).alias(target) for target, source in layout.items()])
+    return df.selectExpr(
+        *[f"{ticked(source)} AS {ticked(target)}" for target, source in layout.items()]
+    )
 
 
 def rename_strict(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -44,7 +51,7 @@ def select_by_regex(df: DataFrame, pattern: str) -> DataFrame:
     keep = [name for name in df.columns if re.search(pattern, name)]
     if not keep:
         raise ValueError(f"No column name matches {pattern!r}")
-    return df.select([quoted(name) for name in keep])
+    return df.select([ticked(name) for name in keep])
 
 
 def join_side_by_side(
@@ -64,32 +71,29 @@ def join_side_by_side(
     require_columns(left, [l for l, _ in on])
     require_columns(right, [r for _, r in on])
     taken = {name.lower() for name in left.columns}
-    inner_names, kept = {}, []
+    names, hidden = {}, []
     for name in right.columns:
-        inner_names[name] = f"__right_{name}"
-        if name.lower() not in taken:
-            kept.append((name, name))
-            taken.add(name.lower())
-        elif clash == "suffix":
-            count = 1
-            while f"{name}_{count}".lower() in taken:
-                count += 1
-            kept.append((name, f"{name}_{count}"))
-            taken.add(f"{name}_{count}".lower())
-    renamed = right.withColumnsRenamed(inner_names)
-    condition = [quoted(l) == quoted(inner_names[r]) for l, r in on]
-    joined = left.join(renamed, condition, how)
-    return joined.select(
-        *[quoted(name) for name in left.columns],
-        *[quoted(inner_names[source]).alias(target) for source, target in kept],
-    )
+        final = name
+        if name.lower() in taken and clash == "drop":
+            final = f"__right_{name}"
+            hidden.append(final)
+        count = 0
+        while final.lower() in taken:
+            count += 1
+            final = f"{name}_{count}"
+        taken.add(final.lower())
+        names[name] = final
+    renamed = right.withColumnsRenamed({old: new for old, new in names.items() if old != new})
+    key_names = {name.lower(): final for name, final in names.items()}
+    condition = [quoted(l) == quoted(key_names[r.lower()]) for l, r in on]
+    return left.join(renamed, condition, how).drop(*hidden)
 
 
 def unnest(df: DataFrame, *structs: str, drop: Iterable[str] = ()) -> DataFrame:
     """Replace struct columns by their fields, dropping fields not wanted."""
     require_columns(df, structs)
-    columns: list[Column | str] = [quoted(n) for n in df.columns if n not in structs]
-    columns += [f"`{name}`.*" for name in structs]
+    columns = [ticked(name) for name in df.columns if name not in structs]
+    columns += [f"{ticked(name)}.*" for name in structs]
     return df.select(*columns).drop(*drop)
 
 

@@ -62,7 +62,7 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], stamp: str) -> DataF
     )
     condition = [quoted(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)]
     condition.append(quoted(stamp) == F.col("__latest"))
-    return df.join(best, condition, "inner").select([quoted(c) for c in df.columns])
+    return df.join(best, condition, "inner").drop(*best.columns)
 
 
 def semi_join_codes(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.operators.columns import quoted
+from civicspark.operators.columns import ticked
 from civicspark.operators.quality import require_columns
 
 
@@ -45,7 +45,7 @@ def first_rows_by(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
 def preview(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
     """O3."""
     require_columns(df, columns)
-    return df.select([quoted(c) for c in columns]).limit(n)
+    return df.select([ticked(c) for c in columns]).limit(n)
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

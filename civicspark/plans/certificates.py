@@ -13,7 +13,7 @@ from civicspark.functions.scalars import (
     bulk_archive_url, clean_tenure, construction_epoch, date_parts, nominal_construction_year,
     point_label, require_certificate_type,
 )
-from civicspark.operators.columns import add_chained, join_side_by_side, quoted, select_layout
+from civicspark.operators.columns import add_chained, join_side_by_side, select_layout
 from civicspark.operators.filters import Box, in_box, in_codes, not_null
 from civicspark.operators.joins import enrich, enrich_dimension, latest_per_key, lookup_join
 from civicspark.operators.quality import (
@@ -152,11 +152,11 @@ def domestic_enriched_view(
 ) -> DataFrame:
     """V3: the latest certificates of each property with derived and area columns.
 
-    Tenure and deprivation are attached to the postcodes first, so the certificates are
+    Derived columns are computed for the rows that are left.  Tenure and deprivation are attached to the postcodes first, so the certificates are
     shuffled for the latest-per-property step and for one enrichment, not for three.
     """
     derived = add_chained(
-        certificates,
+        latest_per_key(certificates, "UPRN", "LODGEMENT_DATETIME"),
         [
             ("NOMINAL_CONSTRUCTION_YEAR", nominal_construction_year("CONSTRUCTION_AGE_BAND")),
             ("CONSTRUCTION_EPOCH", construction_epoch("NOMINAL_CONSTRUCTION_YEAR")),
@@ -166,16 +166,13 @@ def domestic_enriched_view(
     )
     if missing_columns(postcodes, ["geom"]):
         postcodes = postcodes.withColumn("geom", make_point("long", "lat"))
-    places = postcodes.withColumn("geom_text", point_text("geom")).select(
-        [quoted(c) for c in POSTCODE_COLUMNS]
-    )
+    places = postcodes.withColumn("geom_text", point_text("geom")).select(*POSTCODE_COLUMNS)
     areas = enrich_dimension(
         places,
         [(tenure, "lsoa21cd", "lsoa21cd"), (deprivation, "lsoa11cd", "lsoa11cd")],
         clash,
     )
-    latest = latest_per_key(derived, "UPRN", "LODGEMENT_DATETIME")
-    return enrich(latest, areas, "POSTCODE", "pcds", clash)
+    return enrich(derived, areas, "POSTCODE", "pcds", clash)
 
 
 def domestic_region_view(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions.names import apply_names, clean_names, space_underscore
 from civicspark.operators.aggregates import ratio_of_sums
-from civicspark.operators.columns import drop_strict, join_side_by_side, quoted, rename_strict
+from civicspark.operators.columns import drop_strict, join_side_by_side, rename_strict
 from civicspark.operators.filters import (
     differs, flag_matching, in_codes, in_codes_of_first_column, latest_period,
 )
@@ -142,4 +142,4 @@ def emissions_long_table(emissions: DataFrame, lookup: DataFrame) -> DataFrame:
         sectors, "double",
     )
     flagged = flag_matching(long, "sector", TOTAL_SECTORS, "total_bool")
-    return flagged.select([quoted(c) for c in EMISSIONS_LONG])
+    return flagged.select(*EMISSIONS_LONG)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.operators.columns import quoted
+from civicspark.operators.columns import quoted, ticked
 from civicspark.operators.quality import distinct_by_key, require_columns
 
 
@@ -71,7 +71,7 @@ def upsert_by_key(
     replaced = winners.select([quoted(k).alias(f"__replaced_{i}") for i, k in enumerate(keys)])
     condition = [quoted(k) == F.col(f"__replaced_{i}") for i, k in enumerate(keys)]
     untouched = base.join(replaced, condition, "left_anti")
-    columns = [quoted(c) for c in base.columns]
+    columns = [ticked(c) for c in base.columns]
     return untouched.unionByName(winners.select(columns)).unionByName(keyless.select(columns))
 
 
