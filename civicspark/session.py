@@ -27,6 +27,10 @@ def build_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Certificates have some ninety columns; without this the JVM leaves the large
+        # methods Spark generates for them uncompiled.
+        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     }
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
