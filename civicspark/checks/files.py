@@ -68,7 +68,7 @@ def landed_csv_sample(spark, sf_dir):
     """The row limit of a sample run (any rows, so their number is checked)."""
     path = scratch_path(spark, "landed-csv")
     export_csv(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), path)
-    return read_landed_csv(spark, path, 1000).agg(F.count(F.lit(1)).alias("n_rows"))
+    return read_landed_csv(spark, path, 1000, multi_line=False).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @check("parquet_round_trip", "SELECT l_orderkey, l_quantity, l_shipdate FROM {lineitem} WHERE l_returnflag = 'R'")
@@ -112,18 +112,16 @@ def code_list_file(spark, sf_dir):
 def _land_documents(
     df: DataFrame, path: str, key: str, per_page: int = 2000, **members: str
 ) -> None:
-    """Land rows as JSON documents ``{"features": [...]}``, a bounded number to a document.
-
-    Text files hold one document each, as a feature service delivers them.
-    """
+    """Land rows as JSON documents ``{"features": [...]}``, a bounded number to a document
+    and one document to a line."""
     feature = F.struct(*[F.expr(e).alias(name) for name, e in members.items()])
     pages = (
         df.select(feature.alias("feature"), F.floor(F.col(key) / per_page).alias("page"))
         .groupBy("page")
         .agg(F.collect_list("feature").alias("features"))
-        .select("page", F.to_json(F.struct("features")).alias("document"))
+        .select(F.to_json(F.struct("features")).alias("document"))
     )
-    pages.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("page").text(path)
+    pages.write.mode("overwrite").text(path)
 
 
 @check("features_unnest", """
@@ -137,7 +135,7 @@ def features_unnest(spark, sf_dir):
         attributes="struct(c_name AS name, c_custkey AS id, 'g' AS GlobalID)",
         geometry="struct(c_acctbal AS x, cast(c_nationkey AS double) AS y)",
     )
-    return read_feature_layers(spark, root, {"centroids": True})["centroids"]
+    return read_feature_layers(spark, root, {"centroids": True}, multi_line=False)["centroids"]
 
 
 @check("features_flat", "SELECT o_orderkey AS id, o_orderstatus AS status FROM {orders}")
@@ -148,7 +146,7 @@ def features_flat(spark, sf_dir):
         table(spark, sf_dir, "orders"), path, "o_orderkey",
         attributes="struct(o_orderkey AS id, o_orderstatus AS status)",
     )
-    return read_features(spark, path, with_geometry=False)
+    return read_features(spark, path, with_geometry=False, multi_line=False)
 
 
 @check("geojson_scan", """
@@ -163,7 +161,7 @@ def geojson_scan(spark, sf_dir):
         properties="struct(s_name AS CAUTHNM)",
         geometry=f"struct('Polygon' AS type, array({ring}) AS coordinates)",
     )
-    shapes = read_geojson(spark, path)
+    shapes = read_geojson(spark, path, multi_line=False)
     outer = F.col("coordinates")[0]
     return shapes.select(
         "CAUTHNM", "geometry_type", outer[0][0].alias("west"), F.size(outer).alias("corners")

@@ -122,6 +122,7 @@ def full_run_inventory(spark, sf_dir):
         extra_la_rows=[
             {"ladcd": "A99", "ladnm": "Extra", "cauthcd": "C3", "cauthnm": "EUROPE"}
         ],
+        multi_line=False,
     )
     if report.failed:
         raise RuntimeError(f"steps failed: {report.failed}")
@@ -137,7 +138,7 @@ def extract_inventory(spark, sf_dir):
     """Extraction only, without geography."""
     landing = _land_sources(spark, sf_dir)
     warehouse = scratch_path(spark, "warehouse")
-    return extract_all(spark, landing, warehouse, geography=False).inventory()
+    return extract_all(spark, landing, warehouse, geography=False, multi_line=False).inventory()
 
 
 @check("built_tables_view", f"""

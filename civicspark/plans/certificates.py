@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.functions.geometry import make_point, point_text
@@ -22,6 +22,9 @@ from civicspark.operators.quality import (
 from civicspark.operators.sets import union_all
 from civicspark.plans.geography import region_codes
 from civicspark.schemas import NON_DOMESTIC_CERTIFICATES
+from civicspark.sources.files import read_certificate_pages
+from civicspark.sources.sinks import replace_table, upsert_by_key
+from civicspark.streaming.periods import next_period_value
 
 # Postcode columns the domestic view shows, in order.
 POSTCODE_COLUMNS = (
@@ -143,6 +146,38 @@ def certificate_updates(pages: Sequence[DataFrame]) -> DataFrame:
     return apply_names(union_all(pages), upper_underscore)
 
 
+def refresh_certificates(
+    spark: SparkSession,
+    base: DataFrame,
+    landed: str,
+    target: str,
+    cert_type: str = "domestic",
+    la_codes: DataFrame | Sequence[str] | None = None,
+    published: DataFrame | None = None,
+    published_date: str = "date",
+    to_period: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Bring a certificate table up to date from landed pages, written to a new path.
+
+    Pages are taken from the month after the latest published date (of ``published``, or
+    of the table's own lodgement dates) to ``to_period``, by default the previous month.
+    """
+    start = (
+        next_period_value(base, "LODGEMENT_DATE")
+        if published is None
+        else next_period_value(published, published_date)
+    )
+    pages = read_certificate_pages(
+        spark, landed, cert_type, from_period=start, to_period=to_period
+    )
+    if la_codes is not None:
+        pages = in_codes(pages, "local-authority", la_codes)
+    updates = certificate_updates([pages])
+    return replace_table(
+        upsert_by_key(base, updates, "LMK_KEY", ["LODGEMENT_DATETIME"]), target
+    )
+
+
 def domestic_enriched_view(
     certificates: DataFrame,
     postcodes: DataFrame,

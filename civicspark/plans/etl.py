@@ -111,11 +111,13 @@ def extract_all(
     row_limit: int | None = None,
     geography: bool = True,
     tolerant: bool = False,
+    multi_line: bool = True,
 ) -> RunReport:
     """Replace the raw tables by what has landed.
 
     ``tolerant`` skips the geography layers and the deprivation index when they fail;
-    any other source that fails stops the run.
+    any other source that fails stops the run.  With ``multi_line=False`` JSON pages are
+    one to a line and CSV fields hold no line breaks, so Spark can split large files.
     """
     report = RunReport()
     optional = "skip" if tolerant else "fail"
@@ -126,16 +128,18 @@ def extract_all(
     if geography:
         for name in FEATURE_LAYERS:
             report.run(name, optional, lambda n=name: replace_table(
-                read_feature_layers(spark, landing, {n: FEATURE_LAYERS[n]})[n], raw(n)))
+                read_feature_layers(spark, landing, {n: FEATURE_LAYERS[n]}, multi_line)[n], raw(n)))
         report.run(LOOKUP_LAYER, optional, lambda: replace_table(
-            read_features(spark, _join_path(landing, LOOKUP_LAYER), with_geometry=False),
-            raw(LOOKUP_LAYER)))
+            read_features(
+                spark, _join_path(landing, LOOKUP_LAYER), with_geometry=False, multi_line=multi_line
+            ), raw(LOOKUP_LAYER)))
         report.run(BOUNDARIES, "fail", lambda: replace_table(
-            read_geojson(spark, _join_path(landing, BOUNDARIES)), raw(BOUNDARIES)))
+            read_geojson(spark, _join_path(landing, BOUNDARIES), multi_line=multi_line),
+            raw(BOUNDARIES)))
     for name in CSV_SOURCES:
         policy = optional if name == "imd_2025" else "fail"
         report.run(name, policy, lambda n=name: replace_table(
-            read_landed_csv(spark, _join_path(landing, n), row_limit), raw(n)))
+            read_landed_csv(spark, _join_path(landing, n), row_limit, multi_line), raw(n)))
     return report
 
 
@@ -152,6 +156,7 @@ def run_full_etl(
     default_la_codes: Sequence[str] | None = None,
     small_areas: DataFrame | None = None,
     today: date | None = None,
+    multi_line: bool = True,
 ) -> RunReport:
     """Raw tables, then clean tables under ``transformed_data``.
 
@@ -161,11 +166,12 @@ def run_full_etl(
       authorities, and certificates those of ``default_la_codes`` (all when None).
     * ``small_areas`` restricts the deprivation index; by default the areas that have a
       centroid do.
+    * ``multi_line`` as for :func:`extract_all`.
     * Clean-ups of emissions, traffic, deprivation and certificates never stop the run.
     """
     extracted = extract_all(
         spark, landing, warehouse, sample_size if sample_mode else None,
-        geography=not skip_arcgis, tolerant=sample_mode,
+        geography=not skip_arcgis, tolerant=sample_mode, multi_line=multi_line,
     )
     raw, report = extracted.tables, RunReport(failed=list(extracted.failed))
 

@@ -104,13 +104,15 @@ def read_features(
     with_geometry: bool = True,
     drop: Iterable[str] = ("GlobalID",),
     schema: T.StructType | str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Landed pages of ``{"features": [{"attributes": ..., "geometry": ...}]}``.
 
     One row per feature; attributes, and on request the geometry fields, become columns.
-    Pages are one JSON document each.  The schema is inferred unless given.
+    A file is one page; with ``multi_line=False`` it holds a page per line, so that many
+    pages share a file and Spark can split it.  The schema is inferred unless given.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     pages = (reader.schema(schema) if schema else reader).json(path)
     features = pages.select(F.explode("features").alias("feature"))
     columns = ["feature.attributes.*"] + (["feature.geometry.*"] if with_geometry else [])
@@ -118,20 +120,25 @@ def read_features(
 
 
 def read_feature_layers(
-    spark: SparkSession, root: str, layers: Mapping[str, bool]
+    spark: SparkSession, root: str, layers: Mapping[str, bool], multi_line: bool = True
 ) -> dict[str, DataFrame]:
     """Several landed layers under one root, given as name -> has geometry."""
     return {
-        name: read_features(spark, f"{root.rstrip('/')}/{name}", with_geometry)
+        name: read_features(
+            spark, f"{root.rstrip('/')}/{name}", with_geometry, multi_line=multi_line
+        )
         for name, with_geometry in layers.items()
     }
 
 
 def read_geojson(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """One row per feature: its properties, ``geometry_type`` and ``coordinates``."""
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     documents = (reader.schema(schema) if schema else reader).json(path)
     return documents.select(F.explode("features").alias("feature")).select(
         "feature.properties.*",
@@ -141,10 +148,13 @@ def read_geojson(
 
 
 def read_landed_csv(
-    spark: SparkSession, path: str | list[str], row_limit: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    row_limit: int | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A landed open-data CSV with inferred types, on request only some rows."""
-    return first_rows(read_csv_inferred(spark, path), row_limit)
+    return first_rows(read_csv_inferred(spark, path, multi_line=multi_line), row_limit)
 
 
 def read_certificate_pages(

@@ -91,6 +91,32 @@ def test_j3_region_filter_reaches_the_rows_not_the_maximum(spark, certificates,
     assert any("ReadSchema: struct<uprn:string,lodged:int>" in line for line in scans)
 
 
+def test_j3_hot_key_and_stamp_is_split(spark, no_broadcast):
+    """A third of all rows tie at one key's latest stamp; the join splits them over tasks."""
+    hot = spark.range(40000).selectExpr("id", "'hot' AS k", "9 AS ts")
+    cold = spark.range(80000).selectExpr("id", "'k' || id % 5000 AS k", "cast(id % 7 AS int) AS ts")
+    df = hot.union(cold).withColumn("payload", F.md5(F.col("id").cast("string")))
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        latest = latest_per_key(df, "k", "ts")
+        rows = latest.collect()
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert sum(r["k"] == "hot" for r in rows) == 40000
+
+
 def test_j1_small_lookup_is_broadcast_large_one_is_not(spark, certificates, lookup, tmp_path):
     lookup.write.parquet(str(tmp_path / "l"))
     stored = spark.read.parquet(str(tmp_path / "l"))

@@ -11,7 +11,7 @@ from civicspark.operators.filters import Box
 from civicspark.plans.certificates import (
     DOMESTIC_LAYOUT, NON_DOMESTIC_LAYOUT, certificate_updates, domestic_enriched_view,
     domestic_publication_view, domestic_region_view, make_zipfile_list,
-    non_domestic_publication_view, non_domestic_view, transform_epc_domestic,
+    non_domestic_publication_view, non_domestic_view, refresh_certificates, transform_epc_domestic,
     transform_epc_nondomestic,
 )
 from civicspark.plans.emissions import (
@@ -378,6 +378,27 @@ def test_v23_updates_take_table_names(spark):
     assert rows_of(certificate_updates([a, b])) == [("k1", 1), ("k2", 2)]
 
 
+def test_v23_refresh_from_the_next_month_on(spark, tmp_path):
+    base = certificate(spark, DOMESTIC_CERTIFICATES, [
+        dom("k1", stamp=datetime(2024, 1, 20), TENURE="old"), dom("k2", stamp=datetime(2024, 1, 5), TENURE="old"),
+    ])
+    names = page_schema("domestic").fieldNames()
+    rows = [
+        {"lmk-key": k, "local-authority": la, "lodgement-date": d, "tenure": "new"}
+        for k, la, d in (
+            ("k1", "A1", "2024-02-01"), ("k3", "A1", "2024-03-31"), ("k4", "A2", "2024-02-01"),
+            ("k5", "A1", "2024-01-31"), ("k6", "A1", "2024-04-01"),
+        )
+    ]
+    lines = [",".join(names)] + [",".join(r.get(n, "") for n in names) for r in rows]
+    land(tmp_path, "pages", "\n".join(lines) + "\n", "csv")
+    fresh = refresh_certificates(
+        spark, base, str(tmp_path / "pages"), str(tmp_path / "new"), la_codes=["A1"], to_period=(2024, 3)
+    )
+    assert fresh.schema.fieldNames() == DOMESTIC_CERTIFICATES.fieldNames()
+    assert rows_of(fresh.select("LMK_KEY", "TENURE")) == [("k1", "new"), ("k2", "old"), ("k3", "new")]
+
+
 def test_i3_each_file_is_taken_in_once(spark, tmp_path):
     base = spark.createDataFrame([("k1", "old", 1), ("k2", "old", 1)], "LMK_KEY string, V string, LODGED int")
     page = spark.createDataFrame([], "`lmk-key` string, v string, lodged int").schema
