@@ -22,19 +22,18 @@ from civicspark.plans.geography import small_area_chunks
 from civicspark.streaming.periods import next_period
 
 _BANDS = f"SELECT o_orderkey, {AGE_BAND} AS band FROM {{orders}}"
-_YEAR = r"""CASE
-    WHEN regexp_matches(band, '(\d{4})-(\d{4})') THEN cast(round((
-        cast(regexp_extract(band, '(\d{4})-(\d{4})', 1) AS integer)
-        + cast(regexp_extract(band, '(\d{4})-(\d{4})', 2) AS integer)) / 2.0) AS integer)
-    WHEN regexp_matches(band, 'before (\d{4})')
-        THEN cast(regexp_extract(band, 'before (\d{4})', 1) AS integer)
-    WHEN regexp_matches(band, '(\d{4}) onwards')
-        THEN cast(regexp_extract(band, '(\d{4}) onwards', 1) AS integer)
-    WHEN regexp_matches(band, '(\d{4})') THEN cast(regexp_extract(band, '(\d{4})', 1) AS integer)
-    ELSE NULL END"""
-_EPOCH = """CASE WHEN built < 1900 THEN 'Before 1900'
-    WHEN built >= 1900 AND built <= 1930 THEN '1900 - 1930'
-    WHEN built > 1930 THEN '1930 to present' ELSE 'Unknown' END"""
+# No match gives empty text, which casts to NULL, so the first rule that applies wins.
+_YEAR = r"""coalesce(
+    cast(round((try_cast(regexp_extract(band, '(\d{4})-(\d{4})', 1) AS integer)
+        + try_cast(regexp_extract(band, '(\d{4})-(\d{4})', 2) AS integer)) / 2.0) AS integer),
+    try_cast(regexp_extract(band, 'before (\d{4})', 1) AS integer),
+    try_cast(regexp_extract(band, '(\d{4}) onwards', 1) AS integer),
+    try_cast(regexp_extract(band, '(\d{4})', 1) AS integer))"""
+_EPOCH = """CASE WHEN built IS NULL THEN 'Unknown' WHEN built > 1930 THEN '1930 to present'
+    WHEN built < 1900 THEN 'Before 1900' ELSE '1900 - 1930' END"""
+_CATEGORY = """CASE WHEN tenure IN ('owner-occupied', 'Owner-occupied') THEN 'Owner occupied'
+    WHEN tenure IN ('Rented (social)', 'rental (social)') THEN 'Social rented'
+    WHEN tenure IN ('Rented (private)', 'rental (private)') THEN 'Private rented' END"""
 
 
 @check("age_band_year", f"""
@@ -53,10 +52,7 @@ _TENURES = f"SELECT o_orderkey, {TENURE_TEXT} AS tenure FROM {{orders}}"
 
 
 @check("synonym_map", f"""
-SELECT *, CASE WHEN tenure = 'owner-occupied' OR tenure = 'Owner-occupied' THEN 'Owner occupied'
-    WHEN tenure = 'Rented (social)' OR tenure = 'rental (social)' THEN 'Social rented'
-    WHEN tenure = 'rental (private)' OR tenure = 'Rented (private)' THEN 'Private rented'
-    END AS category FROM ({_TENURES})
+SELECT *, {_CATEGORY} AS category FROM ({_TENURES})
 """)
 def synonym_map(spark, sf_dir):
     """Exact and case-sensitive."""

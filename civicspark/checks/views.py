@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from civicspark.checks import inputs
 from civicspark.checks.registry import check, derive, table
-from civicspark.checks.scalars import _EPOCH, _YEAR
+from civicspark.checks.scalars import _CATEGORY, _EPOCH, _YEAR
 from civicspark.functions.names import apply_names, hyphen_lower
 from civicspark.plans.certificates import (
     DOMESTIC_LAYOUT, NON_DOMESTIC_LAYOUT, domestic_enriched_view, domestic_publication_view,
@@ -33,11 +33,11 @@ def _with(**ctes: str) -> str:
 
 
 _NUMBER = r"regexp_replace(cast({0} AS string), '\.0$', '')"
+_LATEST = """SELECT * FROM certificates WHERE UPRN IS NOT NULL AND LODGEMENT_DATETIME IS NOT NULL
+    QUALIFY rank() OVER (PARTITION BY UPRN ORDER BY LODGEMENT_DATETIME DESC) = 1"""
 _DOMESTIC_VIEW = f"""
 SELECT c.*, {_EPOCH.replace('built', 'NOMINAL_CONSTRUCTION_YEAR')} AS CONSTRUCTION_EPOCH,
-    CASE WHEN TENURE IN ('owner-occupied', 'Owner-occupied') THEN 'Owner occupied'
-        WHEN TENURE IN ('Rented (social)', 'rental (social)') THEN 'Social rented'
-        WHEN TENURE IN ('rental (private)', 'Rented (private)') THEN 'Private rented' END AS TENURE_CLEAN,
+    {_CATEGORY} AS TENURE_CLEAN,
     cast(date_part('day', c.LODGEMENT_DATETIME) AS int) AS LODGEMENT_DAY,
     cast(date_part('month', c.LODGEMENT_DATETIME) AS int) AS LODGEMENT_MONTH,
     cast(date_part('year', c.LODGEMENT_DATETIME) AS int) AS LODGEMENT_YEAR,
@@ -46,9 +46,7 @@ SELECT c.*, {_EPOCH.replace('built', 'NOMINAL_CONSTRUCTION_YEAR')} AS CONSTRUCTI
         'POINT (' || {_NUMBER.format('p.long')} || ' ' || {_NUMBER.format('p.lat')} || ')' END AS geom_text,
     p.imd20ind, p.pcds, t.* EXCLUDE (lsoa21cd), i.* EXCLUDE (lsoa11cd)
 FROM (SELECT *, {_YEAR.replace('band', 'CONSTRUCTION_AGE_BAND')} AS NOMINAL_CONSTRUCTION_YEAR
-    FROM certificates) c
-JOIN (SELECT UPRN, max(LODGEMENT_DATETIME) AS max_date FROM certificates GROUP BY UPRN) latest
-    ON c.UPRN = latest.UPRN AND c.LODGEMENT_DATETIME = latest.max_date
+    FROM ({_LATEST})) c
 LEFT JOIN postcodes p ON c.POSTCODE = p.pcds
 LEFT JOIN tenure t ON p.lsoa21cd = t.lsoa21cd
 LEFT JOIN deprivation i ON p.lsoa11cd = i.lsoa11cd"""
@@ -107,9 +105,7 @@ SELECT c.*, l.*, p.lsoa21cd, p.lat, p.long,
     cast(date_part('day', c.LODGEMENT_DATETIME) AS int) AS LODGEMENT_DAY,
     cast(date_part('month', c.LODGEMENT_DATETIME) AS int) AS LODGEMENT_MONTH,
     cast(date_part('year', c.LODGEMENT_DATETIME) AS int) AS LODGEMENT_YEAR
-FROM certificates c
-JOIN (SELECT UPRN, max(LODGEMENT_DATETIME) AS max_date FROM certificates GROUP BY UPRN) latest
-    ON c.UPRN = latest.UPRN AND c.LODGEMENT_DATETIME = latest.max_date
+FROM ({_LATEST}) c
 JOIN lookup l ON c.LOCAL_AUTHORITY = l.ladcd
 JOIN (SELECT pcds, lsoa21cd, lat, long FROM postcodes) p ON c.POSTCODE = p.pcds
 WHERE c.LOCAL_AUTHORITY IN (SELECT ladcd FROM lookup WHERE cauthnm = '{REGION}')"""

@@ -15,6 +15,7 @@ import posixpath
 import sys
 import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import PurePosixPath
 
 import pandas as pd
 from pyarrow import fs
@@ -35,7 +36,8 @@ def certificates_member(names: list[str]) -> str | None:
 def only_csv_under_data(names: list[str]) -> str:
     """The single CSV directly under ``Data/``; none or several is an error."""
     found = [
-        n for n in names if n.startswith("Data/") and n.count("/") == 1 and n.endswith(".csv")
+        str(path) for path in map(PurePosixPath, names)
+        if path.parent.as_posix() == "Data" and path.suffix == ".csv"
     ]
     if not found:
         raise FileNotFoundError("No CSV file found directly under Data/ in the archive")

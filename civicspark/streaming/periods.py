@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ from civicspark.operators.columns import quoted
 
 def previous_month(today: date | None = None) -> tuple[int, int]:
     """Default end of a period range; January rolls back into December."""
-    today = today or date.today()
-    return (today.year - 1, 12) if today.month == 1 else (today.year, today.month - 1)
+    last_day = (today or date.today()).replace(day=1) - timedelta(days=1)
+    return (last_day.year, last_day.month)
 
 
 def three_months_back(today: date | None = None) -> tuple[int, int]:
