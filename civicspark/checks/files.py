@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +16,7 @@ from civicspark.functions.names import apply_names, hyphen_lower
 from civicspark.operators.filters import in_codes
 from civicspark.schemas import DOMESTIC_CERTIFICATES
 from civicspark.session import scratch_path
-from civicspark.sources.archives import read_zipped_csv
+from civicspark.sources.archives import read_zipped_csv, store_of
 from civicspark.sources.files import (
     read_certificate_pages, read_csv, read_csv_inferred, read_csv_lenient, read_feature_layers,
     read_features, read_geojson, read_landed_csv, read_parquet,
@@ -202,17 +207,7 @@ def _zip_partitions(member: str, folder: str):
     """Task function: each partition becomes one archive with one CSV member."""
 
     def write_archive(batches):
-        import io
-        import zipfile
-
-        import pandas as pd
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        uri = "file://" + folder[5:] if folder.startswith("file:/") and folder[5:7] != "//" else folder
-        if "://" not in uri:
-            uri = "file://" + uri
-        store, inner = fs.FileSystem.from_uri(uri)
+        store, inner = store_of(folder)
         store.create_dir(inner, recursive=True)
         name = f"part-{TaskContext.get().partitionId():05d}"
         rows = 0
@@ -237,7 +232,7 @@ def zipped_csv(spark, sf_dir):
     """Whole texts out of ZIP archives, one archive per landed partition."""
     folder = scratch_path(spark, "zips")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
-    spread = documents.repartition(8, "doc_id")
+    spread = documents.repartition("doc_id")
     spread.mapInPandas(
         _zip_partitions("certificates.csv", folder), "archive string, n_rows bigint"
     ).write.mode("overwrite").parquet(folder + "-log")

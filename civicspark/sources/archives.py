@@ -46,23 +46,26 @@ def only_csv_under_data(names: list[str]) -> str:
     return found[0]
 
 
-def _open_archive(path: str):
-    """The archive as a seekable stream from whichever store its path names."""
-    local = path.startswith("file:/") and not path.startswith("file://")
-    store, inner = fs.FileSystem.from_uri("file://" + path[5:] if local else path)
-    return store.open_input_file(inner)
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The store a Spark path names, and the path inside it.  Spark writes ``file:/x``."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path)
 
 
 def _member_rows(path: str, columns: list[str], choose: Callable) -> Iterator[list]:
     """Rows of the chosen member as text, in the order of the wanted columns."""
-    with _open_archive(path) as stream, zipfile.ZipFile(stream) as archive:
+    store, inner = store_of(path)
+    with store.open_input_file(inner) as stream, zipfile.ZipFile(stream) as archive:
         member = choose(archive.namelist())
         if member is None:
             logging.getLogger("civicspark").warning("No wanted member in %s", path)
             return
         with archive.open(member) as raw:
             records = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-            header = next(records, [])
+            header = next(records, None)
+            if header is None:
+                return
             absent = [c for c in columns if c not in header]
             if absent:
                 raise ValueError(f"{path}: {member} lacks columns {absent}")

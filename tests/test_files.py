@@ -157,6 +157,7 @@ def test_s15_zip_members(spark, tmp_path):
     })
     put_zip(tmp_path / "z/E02.zip", {"certificates.csv": "LMK_KEY,POSTCODE,CURRENT_ENERGY_EFFICIENCY\nk3,P,1\n"})
     put_zip(tmp_path / "z/E03.zip", {"readme.txt": "nothing"})
+    put_zip(tmp_path / "z/E04.zip", {"certificates.csv": ""})
     schema = small("LMK_KEY", "POSTCODE", "CURRENT_ENERGY_EFFICIENCY")
     got = read_zipped_csv(spark, str(tmp_path / "z"), schema, batch_rows=1, partitions=2)
     assert got.schema["CURRENT_ENERGY_EFFICIENCY"].dataType.simpleString() == "int"
