@@ -9,14 +9,13 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civicspark.checks.registry import check, derive, table
 from civicspark.functions.names import apply_names, hyphen_lower
 from civicspark.operators.filters import in_codes
 from civicspark.schemas import DOMESTIC_CERTIFICATES
 from civicspark.session import scratch_path
-from civicspark.sources.archives import read_zipped_csv, store_of
+from civicspark.sources.archives import only_csv_under_data, read_zipped_csv, store_of
 from civicspark.sources.files import (
     read_certificate_pages, read_csv, read_csv_inferred, read_csv_lenient, read_feature_layers,
     read_features, read_geojson, read_landed_csv, read_parquet,
@@ -225,19 +224,33 @@ def _zip_partitions(member: str, folder: str):
     return write_archive
 
 
+def _land_archives(df: DataFrame, member: str, key: str, folder: str) -> None:
+    """One archive per partition; the partitions grow with the table."""
+    df.repartition(key).mapInPandas(
+        _zip_partitions(member, folder), "archive string, n_rows bigint"
+    ).write.mode("overwrite").parquet(folder + "-log")
+
+
 @check("zipped_csv", """
 SELECT doc_id, nullif(text, '') AS text, lang, n_chars FROM {documents}
 """)
 def zipped_csv(spark, sf_dir):
-    """Whole texts out of ZIP archives, one archive per landed partition."""
+    """Whole texts out of ZIP archives."""
     folder = scratch_path(spark, "zips")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
-    spread = documents.repartition("doc_id")
-    spread.mapInPandas(
-        _zip_partitions("certificates.csv", folder), "archive string, n_rows bigint"
-    ).write.mode("overwrite").parquet(folder + "-log")
-    schema = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
-        T.StructField("lang", T.StringType()), T.StructField("n_chars", T.LongType()),
-    ])
-    return read_zipped_csv(spark, folder, schema).drop("source_file")
+    _land_archives(documents, "certificates.csv", "doc_id", folder)
+    return read_zipped_csv(spark, folder, documents.schema).drop("source_file")
+
+
+@check("zipped_data_folder", """
+SELECT c_custkey, c_name, cast(c_acctbal AS decimal(10,2)) AS c_acctbal FROM {customer}
+""")
+def zipped_data_folder(spark, sf_dir):
+    """The single CSV under ``Data/`` of each archive, typed leniently."""
+    folder = scratch_path(spark, "zips")
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.col("c_acctbal").cast("decimal(10,2)").alias("c_acctbal")
+    )
+    _land_archives(customers, "Data/customers.csv", "c_custkey", folder)
+    archives = read_zipped_csv(spark, folder, customers.schema, only_csv_under_data)
+    return archives.drop("source_file")

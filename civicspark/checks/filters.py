@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from civicspark.checks.registry import check, table
@@ -13,6 +15,7 @@ from civicspark.operators.joins import enrich
 from civicspark.operators.sets import (
     append_rows, first_rows_by, preview, table_counts, union_all,
 )
+from civicspark.streaming.periods import previous_month, three_months_back
 
 
 @check("bbox_filter", """
@@ -77,6 +80,19 @@ def month_range(spark, sf_dir):
     return orders.select("o_orderkey", "o_totalprice")
 
 
+@check("default_periods", """
+SELECT o_orderkey, o_custkey FROM {orders}
+WHERE year(o_orderdate) * 12 + month(o_orderdate) BETWEEN 1998 * 12 + 6 AND 1998 * 12 + 8
+""")
+def default_periods(spark, sf_dir):
+    """From three months back to the previous month, as of a given day."""
+    today = date(1998, 9, 15)
+    orders = table(spark, sf_dir, "orders")
+    return in_months(
+        orders, "o_orderdate", three_months_back(today), previous_month(today)
+    ).select("o_orderkey", "o_custkey")
+
+
 @check("literal_code_list", """
 SELECT event_id, event_type FROM {events} WHERE event_type IN ('click', 'error')
 """)

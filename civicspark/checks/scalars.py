@@ -6,19 +6,20 @@ from pyspark.sql import functions as F
 
 from civicspark.checks.inputs import AGE_BAND, TENURE_TEXT
 from civicspark.checks.registry import check, derive, table
-from civicspark.functions.geometry import first_point, make_point, parse_wkt, point_text
+from civicspark.functions.geometry import first_point, make_point, point_text
 from civicspark.functions.names import (
     apply_names, clean_names, get_rename_dict, remove_numbers, upper_underscore,
 )
 from civicspark.functions.scalars import (
     clean_tenure, construction_epoch, date_parts, nominal_construction_year, point_label,
 )
+from civicspark.operators.chunks import chunk_codes, chunk_filters
 from civicspark.operators.columns import (
     add_chained, drop_if_present, join_side_by_side, rename_strict, select_by_regex,
     select_layout, unnest,
 )
 from civicspark.plans.certificates import make_zipfile_list
-from civicspark.plans.geography import small_area_chunks
+from civicspark.plans.geography import add_geometry_column_from_wkt, small_area_chunks
 from civicspark.streaming.periods import next_period
 
 _BANDS = f"SELECT o_orderkey, {AGE_BAND} AS band FROM {{orders}}"
@@ -113,8 +114,8 @@ SELECT l_orderkey, l_linenumber, x, y,
 FROM ({_RINGS})
 """)
 def wkt_parse(spark, sf_dir):
-    """Coordinates read back from text, with the nesting they had."""
-    parsed = derive(spark, sf_dir, _RINGS).withColumn("geom", parse_wkt("wkt"))
+    """Coordinates read back from text, with the nesting they had."""
+    parsed = add_geometry_column_from_wkt(derive(spark, sf_dir, _RINGS), "wkt")
     rings = F.flatten("geom.parts")
     return parsed.select(
         "l_orderkey", "l_linenumber", first_point("geom")["x"].alias("x"),
@@ -161,6 +162,20 @@ def code_chunks(spark, sf_dir):
     return small_area_chunks(codes)
 
 
+@check("chunk_clauses", """
+WITH codes AS (SELECT DISTINCT 'P' || cast(l_partkey AS string) AS code FROM {lineitem}),
+numbered AS (SELECT code, (row_number() OVER (ORDER BY code) - 1) // 250 AS chunk FROM codes)
+SELECT chunk, 'partcd IN (' || string_agg('''' || code || '''', ', ' ORDER BY code) || ')' AS clause
+FROM numbered GROUP BY chunk
+""")
+def chunk_clauses(spark, sf_dir):
+    """The membership clause of each chunk."""
+    codes = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("code")
+    )
+    return chunk_filters(chunk_codes(codes, "code", 250), "partcd").select("chunk", "clause")
+
+
 @check("select_by_regex", """
 SELECT COLUMNS('^c_n|key|^n_') FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 """)

@@ -231,7 +231,7 @@ _CENTROIDS = """SELECT 'L' || cast(c_custkey AS string) AS lsoa21cd, c_acctbal A
 
 @check("centroids", f"SELECT lsoa21cd, x, y, x AS geom_x, y AS geom_y FROM ({_CENTROIDS})")
 def centroids(spark, sf_dir):
-    """D1, P7, D4, C9; every centroid comes in twice."""
+    """D1, P7, P17, D4, C9; every centroid comes in twice."""
     once = derive(spark, sf_dir, _CENTROIDS).toDF("LSOA21CD", "X", "Y")
     placed = add_geometry_column(transform_lsoa_pwc(once.unionByName(once)))
     return placed.select("lsoa21cd", "x", "y", F.col("geom.x").alias("geom_x"), F.col("geom.y").alias("geom_y"))

@@ -9,10 +9,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civicspark.operators.aggregates import distinct_values
 from civicspark.operators.columns import quoted
 from civicspark.operators.filters import in_codes
-from civicspark.operators.quality import assert_unique
-from civicspark.operators.aggregates import distinct_values
+from civicspark.operators.quality import assert_unique, count_rows_of, warn_if_empty
 from civicspark.operators.sets import table_counts
 from civicspark.plans.certificates import transform_epc_domestic, transform_epc_nondomestic
 from civicspark.plans.emissions import (
@@ -176,7 +176,10 @@ def run_full_etl(
     raw, report = extracted.tables, RunReport(failed=list(extracted.failed))
 
     def clean(name: str, df: DataFrame) -> DataFrame:
-        return replace_table(df, _join_path(warehouse, "transformed_data", name))
+        observed, rows = count_rows_of(df, name)
+        written = replace_table(observed, _join_path(warehouse, "transformed_data", name))
+        warn_if_empty(rows, f"{name} has no rows - check codes and periods")
+        return written
 
     la_codes = lsoa_codes = None
     if not skip_arcgis:
