@@ -56,10 +56,16 @@ def collect_new_files(
     )
 
 
-def collected_updates(spark: SparkSession, updates: str) -> DataFrame | None:
-    """All micro-batches so far, with their number in ``batch_id``; None before the first."""
+def collected_updates(
+    spark: SparkSession, updates: str, after_batch: int = -1
+) -> DataFrame | None:
+    """Micro-batches so far, with their number in ``batch_id``; None before the first.
+
+    Batches up to ``after_batch``, already part of a refreshed base, are not even listed
+    as input: the number is a partition of the files.
+    """
     try:
-        return spark.read.parquet(updates)
+        return spark.read.parquet(updates).where(F.col(BATCH) > after_batch)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -84,12 +90,14 @@ def refresh_table(
     key: str = "LMK_KEY",
     order: Sequence[str] = ("LODGEMENT_DATETIME",),
     file_format: str = "csv",
+    after_batch: int = -1,
 ) -> DataFrame:
     """Take in new files, then write base and updates as one table to a new path.
 
-    However many micro-batches the new files make, the table is rewritten once.
+    However many micro-batches the new files make, the table is rewritten once.  When the
+    base is an earlier refresh, ``after_batch`` names the last batch it already holds.
     """
     collect_new_files(spark, landed, schema, updates, checkpoint, file_format)
-    batches = collected_updates(spark, updates)
+    batches = collected_updates(spark, updates, after_batch)
     merged = base if batches is None else apply_updates(base, batches, key, order)
     return replace_table(merged, target)

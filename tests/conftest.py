@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         {
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # Short plans, run once each: the quick compiler is enough.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

@@ -416,6 +416,12 @@ def test_i3_each_file_is_taken_in_once(spark, tmp_path):
     (tmp_path / "landed/2.csv").write_text("lmk-key,v,lodged\nk3,later batch,1\n")
     assert rows_of(run(3)) == [*first[:2], ("k3", "later batch", 1)]
     assert len(list((tmp_path / "updates").glob("batch_id=*"))) == 2
+    refreshed = spark.read.parquet(str(tmp_path / "t1"))
+    onward = refresh_table(
+        spark, refreshed, paths[0], page, paths[1], paths[2], str(tmp_path / "t4"),
+        order=["LODGED"], after_batch=0,
+    )
+    assert rows_of(onward) == rows_of(spark.read.parquet(str(tmp_path / "t3")))
 
 
 def land(root, name, text, suffix):
