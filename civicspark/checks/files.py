@@ -44,7 +44,7 @@ _TYPED = """SELECT l_orderkey, l_linenumber, l_extendedprice,
 @check("csv_inferred_override", f"""
 SELECT cast(l_orderkey AS integer) AS l_orderkey, l_linenumber, l_extendedprice, ruc11ind,
     cast(l_shipdate AS date) AS l_shipdate, l_returnflag FROM ({_TYPED})
-""")
+""", texts=["l_shipdate"])
 def csv_inferred_override(spark, sf_dir):
     """Inferred types; the overridden code column keeps its leading zeros."""
     path = scratch_path(spark, "lineitem-csv")
@@ -191,7 +191,7 @@ def _certificate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT LMK_KEY, LOCAL_AUTHORITY, ADDRESS1, LODGEMENT_DATE, TOTAL_FLOOR_AREA FROM ({_CERTIFICATES})
 WHERE LOCAL_AUTHORITY = 'A4'
     AND year(LODGEMENT_DATE) * 12 + month(LODGEMENT_DATE) BETWEEN 1997 * 12 + 3 AND 1999 * 12 + 1
-""")
+""", doubles=["TOTAL_FLOOR_AREA"], texts=["LODGEMENT_DATE"])
 def certificate_pages(spark, sf_dir):
     """Landed pages, each with its header, by authority and month range."""
     path = scratch_path(spark, "pages")
@@ -244,7 +244,7 @@ def zipped_csv(spark, sf_dir):
 
 @check("zipped_data_folder", """
 SELECT c_custkey, c_name, cast(c_acctbal AS decimal(10,2)) AS c_acctbal FROM {customer}
-""")
+""", doubles=["c_acctbal"])
 def zipped_data_folder(spark, sf_dir):
     """The single CSV under ``Data/`` of each archive, typed leniently."""
     folder = scratch_path(spark, "zips")

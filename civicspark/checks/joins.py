@@ -19,7 +19,7 @@ from civicspark.operators.joins import (
 WITH e AS (SELECT event_id, user_id, event_type, value, cast(ts AS date) AS day FROM {events})
 SELECT e.* FROM e JOIN (SELECT user_id, max(day) AS latest FROM e GROUP BY user_id) m
 ON e.user_id = m.user_id AND e.day = m.latest
-""")
+""", texts=["day"])
 def latest_per_key_ties(spark, sf_dir):
     """All events of each user's last day."""
     events = table(spark, sf_dir, "events").select(
@@ -34,7 +34,7 @@ WITH l AS (SELECT l_partkey, l_returnflag, l_orderkey, l_linenumber, l_quantity,
 SELECT l.* FROM l JOIN (SELECT l_partkey, l_returnflag, max(shipped) AS latest FROM l
     GROUP BY l_partkey, l_returnflag) m
 ON l.l_partkey = m.l_partkey AND l.l_returnflag = m.l_returnflag AND l.shipped = m.latest
-""")
+""", texts=["shipped"])
 def latest_per_two_keys(spark, sf_dir):
     """J3 on a compound key."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -141,7 +141,7 @@ FROM (SELECT l_suppkey, cast(sum(cast(l_quantity AS decimal(12,2))) AS double) A
     FROM {lineitem} GROUP BY l_suppkey) s
 JOIN (SELECT l_suppkey, max(cast(l_shipdate AS date)) AS last_shipped
     FROM {lineitem} GROUP BY l_suppkey) m ON s.l_suppkey = m.l_suppkey
-""")
+""", texts=["last_shipped"])
 def max_and_sums(spark, sf_dir):
     """A1, A2."""
     lines = table(spark, sf_dir, "lineitem").select(

@@ -72,7 +72,7 @@ FROM {events}"""
 @check("lenient_cast", f"""
 SELECT event_id, try_cast(rating AS integer) AS rating,
     try_cast(area AS decimal(10,2)) AS area FROM ({_MESSY})
-""")
+""", doubles=["area"])
 def lenient_cast(spark, sf_dir):
     """What does not fit becomes NULL, the row stays."""
     schema = T.StructType([
@@ -82,7 +82,7 @@ def lenient_cast(spark, sf_dir):
     return cast_to_schema(derive(spark, sf_dir, _MESSY), schema)
 
 
-@check("lenient_dates", f"SELECT event_id, try_cast(lodged AS date) AS lodged FROM ({_MESSY})")
+@check("lenient_dates", f"SELECT event_id, try_cast(lodged AS date) AS lodged FROM ({_MESSY})", texts=["lodged"])
 def lenient_dates(spark, sf_dir):
     """D7."""
     messy = derive(spark, sf_dir, _MESSY).select("event_id", "lodged")

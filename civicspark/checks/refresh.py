@@ -30,7 +30,7 @@ SELECT * FROM base WHERE LMK_KEY NOT IN (SELECT LMK_KEY FROM winners)
 UNION ALL SELECT * FROM winners"""
 
 
-@check("upsert_by_key", _UPSERTED)
+@check("upsert_by_key", _UPSERTED, texts=["LODGED"])
 def upserted(spark, sf_dir):
     """Columns of the batch come hyphenated and in another order."""
     batch = derive(spark, sf_dir, _BATCH).select(
@@ -42,7 +42,7 @@ def upserted(spark, sf_dir):
     )
 
 
-@check("stream_refresh", _UPSERTED)
+@check("stream_refresh", _UPSERTED, texts=["LODGED"])
 def stream_refresh(spark, sf_dir):
     """The same upsert through a file stream in two runs, each with its new files only."""
     landed, updates, checkpoint, target = (

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,15 +16,30 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query, and the SQL whose result it must equal."""
+def check(
+    name: str, sql: str, doubles: Sequence[str] = (), texts: Sequence[str] = ()
+) -> Callable[[Query], Query]:
+    """Register a query, and the SQL whose result it must equal.
+
+    Decimals (``doubles``) and dates (``texts``) leave both engines in plain types, because
+    the frames the engines hand out hold those two types in different ways.
+    """
+    casts = {**dict.fromkeys(doubles, "double"), **dict.fromkeys(texts, "string")}
 
     def register(query: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"check {name} registered twice")
-        QUERIES[name] = query
-        if sql is not None:
-            ORACLES[name] = plain(sql)
+
+        @wraps(query)
+        def plain_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = query(spark, sf_dir)
+            return df.withColumns({c: F.col(c).cast(kind) for c, kind in casts.items()})
+
+        QUERIES[name] = plain_types if casts else query
+        ORACLES[name] = plain(sql)
+        if casts:
+            replaced = ", ".join(f'cast("{c}" AS {kind}) AS "{c}"' for c, kind in casts.items())
+            ORACLES[name] = f"SELECT * REPLACE ({replaced}) FROM ({ORACLES[name]})"
         return query
 
     return register

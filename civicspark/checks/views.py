@@ -59,6 +59,15 @@ SELECT * FROM enriched WHERE LOCAL_AUTHORITY IN
     (SELECT ladcd FROM lookup WHERE cauthnm = '{REGION}') AND {_BOX}"""
 
 
+_DOMESTIC_TYPES = {
+    "doubles": (
+        "CO2_EMISSIONS_CURRENT", "CO2_EMISSIONS_POTENTIAL", "CO2_EMISS_CURR_PER_FLOOR_AREA",
+        "TOTAL_FLOOR_AREA",
+    ),
+    "texts": ("LODGEMENT_DATETIME", "LODGEMENT_DATE"),
+}
+
+
 def _layout_sql(layout: dict[str, str]) -> str:
     columns = ", ".join(
         f'{source} AS "{name}"' for name, source in layout.items() if name != "geo_point_2d"
@@ -73,13 +82,13 @@ def _domestic(spark, sf_dir):
     )
 
 
-@check("domestic_enriched", f"{_with(**_DOMESTIC_CTES)} SELECT * FROM enriched")
+@check("domestic_enriched", f"{_with(**_DOMESTIC_CTES)} SELECT * FROM enriched", **_DOMESTIC_TYPES)
 def domestic_enriched(spark, sf_dir):
     """V3: J3, J2, C1-C7, C11, P6."""
     return _domestic(spark, sf_dir)
 
 
-@check("domestic_in_region", f"{_with(**_DOMESTIC_CTES)} {_IN_REGION}")
+@check("domestic_in_region", f"{_with(**_DOMESTIC_CTES)} {_IN_REGION}", **_DOMESTIC_TYPES)
 def domestic_in_region(spark, sf_dir):
     """V4: J5, F3; the latest certificate is chosen before the filters."""
     return domestic_region_view(
@@ -91,6 +100,11 @@ def domestic_in_region(spark, sf_dir):
     "publication_view",
     f"{_with(**_DOMESTIC_CTES, regional=_IN_REGION)} "
     f"SELECT {_layout_sql(DOMESTIC_LAYOUT)} FROM regional",
+    doubles=[
+        "co2_emissions_current", "co2_emissions_potential", "co2_emiss_curr_per_floor_area",
+        "total_floor_area",
+    ],
+    texts=["date"],
 )
 def publication_view(spark, sf_dir):
     """The flagship."""
@@ -122,7 +136,12 @@ def _non_domestic(spark, sf_dir):
     )
 
 
-@check("non_domestic_in_region", f"{_with(**_NON_DOMESTIC_CTES)} SELECT * FROM placed")
+@check(
+    "non_domestic_in_region",
+    f"{_with(**_NON_DOMESTIC_CTES)} SELECT * FROM placed",
+    doubles=["STANDARD_EMISSIONS", "TYPICAL_EMISSIONS", "TARGET_EMISSIONS", "BUILDING_EMISSIONS"],
+    texts=["LODGEMENT_DATETIME", "LODGEMENT_DATE"],
+)
 def non_domestic_in_region(spark, sf_dir):
     """V6: J3, J1, J4, J5, C7."""
     return _non_domestic(spark, sf_dir)
@@ -132,6 +151,8 @@ def non_domestic_in_region(spark, sf_dir):
     "non_domestic_publication",
     f"{_with(**_NON_DOMESTIC_CTES)} SELECT {_layout_sql(NON_DOMESTIC_LAYOUT)} "
     f"FROM placed WHERE {_BOX}",
+    doubles=["standard_emissions", "typical_emissions", "target_emissions", "building_emissions"],
+    texts=["date"],
 )
 def non_domestic_publication(spark, sf_dir):
     """V7: F3, P2, C8."""
@@ -184,7 +205,7 @@ long AS (UNPIVOT emissions ON COLUMNS(* EXCLUDE ({', '.join(EMISSIONS_KEEP)}))
 SELECT {', '.join(EMISSIONS_LONG).replace(
     'total_bool', "regexp_matches(sector, '_total$|lulucf_net_emissions') AS total_bool"
 )} FROM long JOIN lookup ON local_authority_code = ladcd
-""")
+""", doubles=["population_000s_mid_year_estimate", "grand_total"])
 def emissions_long(spark, sf_dir):
     """V9: R3, F8, J1."""
     return emissions_long_table(
@@ -295,7 +316,7 @@ WITH dated AS (SELECT LMK_KEY, REPORT_TYPE, CURRENT_ENERGY_RATING,
 numbered AS (SELECT *, row_number() OVER (PARTITION BY LMK_KEY
     ORDER BY CURRENT_ENERGY_RATING IS NULL, LODGEMENT_DATE DESC, REPORT_TYPE) AS nth FROM dated)
 SELECT * EXCLUDE (nth) FROM numbered WHERE nth = 1 AND CURRENT_ENERGY_RATING IS NOT NULL
-""")
+""", texts=["INSPECTION_DATE", "LODGEMENT_DATE"])
 def domestic_cleanup(spark, sf_dir):
     """P10, D2, D7, F6 (T18: a rated copy is preferred)."""
     return transform_epc_domestic(apply_names(derive(spark, sf_dir, _PAGES), hyphen_lower))
@@ -307,7 +328,7 @@ SELECT 'N' || cast(o_orderkey AS string) AS lmk_key, o_custkey AS uprn,
     try_cast(cast(o_totalprice AS decimal(12,2)) AS decimal(10,2)) AS standard_emissions,
     cast(o_orderdate AS date) AS lodgement_date
 FROM {orders}
-""")
+""", doubles=["standard_emissions"], texts=["lodgement_date"])
 def non_domestic_cleanup(spark, sf_dir):
     """P10, D6, D2; all 41 columns are typed, five of them are compared."""
     orders = table(spark, sf_dir, "orders")
