@@ -34,6 +34,8 @@ def point_text(point: Column | str) -> Column:
 
 
 _GEOMETRY = "kind string, parts array<array<array<struct<x:double,y:double>>>>"
+# Number spellings well-known text allows and JSON does not.
+_SPELLINGS = {":+": ":", ":.": ":0.", ":-.": ":-0.", ".,": ".0,", ".}": ".0}"}
 _PAIR = r"([^\s,()]+)\s+([^\s,()]+)(?:\s+[^\s,()]+)*"
 
 
@@ -48,6 +50,8 @@ def parse_wkt(text: Column | str) -> Column:
     start = F.instr(text, "(")
     kind = F.upper(F.trim(F.substring_index(text, "(", 1)))
     pairs = F.regexp_replace(text.substr(start, F.length(text)), _PAIR, '{"x":$1,"y":$2}')
+    for spelling, plain in _SPELLINGS.items():
+        pairs = F.replace(pairs, F.lit(spelling), F.lit(plain))
     nested = F.translate(pairs, "()", "[]")
     missing = F.when(kind.startswith("MULTIPOLYGON"), "").when(kind.startswith("POLYGON"), "[")
     opening = missing.otherwise("[[")
@@ -55,7 +59,9 @@ def parse_wkt(text: Column | str) -> Column:
         F.lit('{"kind":"'), kind, F.lit('","parts":'),
         opening, nested, F.translate(opening, "[", "]"), F.lit("}"),
     )
-    return F.from_json(F.when(start > 0, document), _GEOMETRY)
+    return F.from_json(
+        F.when(start > 0, document), _GEOMETRY, {"allowNumericLeadingZeros": "true"}
+    )
 
 
 def first_point(geometry: Column | str) -> Column:

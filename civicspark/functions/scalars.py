@@ -116,9 +116,7 @@ def slug(text: Column | str) -> Column:
 def require_certificate_type(cert_type: str) -> str:
     """The type itself, or ``ValueError``."""
     if cert_type not in CERTIFICATE_TYPES:
-        raise ValueError(
-            f"Invalid cert_type: {cert_type}. Must be 'domestic' or 'non-domestic'"
-        )
+        raise ValueError(f"Invalid cert_type: {cert_type}; known are {CERTIFICATE_TYPES}")
     return cert_type
 
 

@@ -69,7 +69,7 @@ def transform_dft_lookup(raw: DataFrame, la_codes: Codes = None) -> DataFrame:
 def transform_imd_2025(raw: DataFrame, lsoa_codes: Codes = None) -> DataFrame:
     """One row per small area, on request only of some areas."""
     if "lsoa21_code" not in raw.columns:
-        raise ValueError(f"'lsoa21_code' column not found. Available: {raw.columns}")
+        raise ValueError(f"'lsoa21_code' column not found among {raw.columns}")
     if lsoa_codes is not None:
         raw = in_codes(raw, "lsoa21_code", lsoa_codes)
     return distinct_by_key(raw, "lsoa21_code")

@@ -33,14 +33,14 @@ def transform_lsoa_pwc(raw: DataFrame) -> DataFrame:
     """Distinct centroids with lower-case names; x and y must be there."""
     clean = apply_names(distinct_rows(raw), lower_name)
     if missing_columns(clean, ["x", "y"]):
-        raise ValueError(f"Required geometry columns (x, y) missing. Found: {clean.columns}")
+        raise ValueError(f"Required geometry columns x and y are not among {clean.columns}")
     return clean
 
 
 def get_ca_la_codes(lookup: DataFrame) -> DataFrame:
     """The authority codes, as a frame to semi-join with."""
     if "ladcd" not in lookup.columns:
-        raise ValueError(f"'ladcd' column not found. Available columns: {lookup.columns}")
+        raise ValueError(f"'ladcd' column not found among {lookup.columns}")
     return lookup.select("ladcd")
 
 

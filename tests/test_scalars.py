@@ -91,6 +91,8 @@ def test_c9_c11_points(spark):
      [[[(0.0, 0.0), (1.0, 1.0)]], [[(2.0, 2.0), (3.0, 3.0)], [(4.0, 4.0), (5.0, 5.0)]]]),
     ("LINESTRING (0 0, 1e2 -1.5E-3)", "LINESTRING", [[[(0.0, 0.0), (100.0, -0.0015)]]]),
     ("POINT Z (1 2 3)", "POINT Z", [[[(1.0, 2.0)]]]),
+    ("POINT (.5 -.25)", "POINT", [[[(0.5, -0.25)]]]),
+    ("POINT (+1. 002.)", "POINT", [[[(1.0, 2.0)]]]),
 ])
 def test_c10_wkt(spark, text, kind, parts):
     geom = spark.createDataFrame([(text,)], "t string").select(parse_wkt("t").alias("g")).first()["g"]
