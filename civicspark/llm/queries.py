@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import bpe, chat, extraction, langid, packing, pii, secret_scan
+from civicspark.llm import bpe, chat, extraction, langid, packing, pii, secret_scan, topk, vector_dedup
 from civicspark.llm.support import table
 
 
@@ -41,6 +41,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_case(table(spark, sf_dir, "conversations"))
     return chat.conversation_digests(turns, vocabulary("byte_bpe_50k.json"))
@@ -58,7 +62,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.tiktoken"), word_pattern(), "<|endoftext|>", 50256).drop("ids")
 
 
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_bpe, op4_secrets, op5_pii, op7_chat, op8_language, op9_packing)
+    f.__name__: f for f in (op1_html_extraction, op2_bpe, op4_secrets, op5_pii, op6_top_k, op7_chat, op8_language, op9_packing, op10_vector_dedup)
 }
 ORACLES: dict[str, str] = {}
