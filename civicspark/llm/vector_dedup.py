@@ -27,8 +27,9 @@ from civicspark.llm.blocks import stacked
 from civicspark.llm.graph import connected_components
 from civicspark.llm.support import pinned, ship
 
-BLOCK_DIMS, BATCH_ROWS, BATCH_BYTES, MATRIX_ROWS = 8, 16384, 1 << 26, 512
-SLACK = 1e-9  # of a squared distance, for rounding; pairs are verified afterwards
+BLOCK_DIMS, BATCH_ROWS, BATCH_BYTES, MATRIX_ROWS = 16, 16384, 1 << 26, 1024
+#: Of a squared distance, for rounding: of doubles, and of the single-precision first look.
+SLACK, ROUGH = 1e-9, 2e-5
 
 
 #: Whether a row has an id and a vector with a direction.
@@ -121,7 +122,10 @@ def tile_links(left: dict, right: dict, same: bool, block: int, dims: int, limit
     a, b = cuts[block]
     budgets = [limit * (q - p) / dims + SLACK for p, q in cuts]
     x, y = left["turned"], right["turned"]
-    near = (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T) <= budgets[block] + SLACK
+    # One product gives |x|^2 - 2xy + |y|^2; what it lets through is measured again in doubles.
+    one = np.c_[x, (x * x).sum(1), np.ones(len(x))].astype(np.float32)
+    two = np.c_[-2 * y, np.ones(len(y)), (y * y).sum(1)].astype(np.float32)
+    near = one @ two.T <= np.float32(budgets[block] + ROUGH)
     if same:
         near = np.triu(near, 1)
     i, j = np.nonzero(near)
