@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import bpe, chat, extraction, langid, packing, pii, secret_scan, topk, vector_dedup
+from civicspark.llm import bpe, chat, extraction, jaccard_join, langid, packing, pii, secret_scan, topk, vector_dedup
 from civicspark.llm.support import table
 
 
@@ -32,6 +32,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_scan.secret_digests(docs, secret_scan.train(docs))
@@ -67,6 +71,6 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_bpe, op4_secrets, op5_pii, op6_top_k, op7_chat, op8_language, op9_packing, op10_vector_dedup)
+    f.__name__: f for f in (op1_html_extraction, op2_bpe, op3_jaccard_join, op4_secrets, op5_pii, op6_top_k, op7_chat, op8_language, op9_packing, op10_vector_dedup)
 }
 ORACLES: dict[str, str] = {}
