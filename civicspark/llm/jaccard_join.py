@@ -13,7 +13,7 @@ all, so most are equal.  Each set chooses which segments to search by and how (i
   member among frequent shingles, counted over all documents beforehand; an empty segment is
   the dearest.  As long as H + 1 differences stay covered, the dearest go first.
 
-Every segment is indexed, so a pair is found when either set searches a segment they share.
+Every segment with members is indexed, so a pair is found when either set searches a segment they share.
 Frequencies only steer costs: any choice finds all pairs.
 
 Signatures are dealt out and sorted by hash.  The sets of a signature are first compared with
@@ -40,9 +40,9 @@ from civicspark.llm.graph import connected_components
 from civicspark.llm.shingles import Hasher, fingerprint, mixed
 from civicspark.llm.support import join_small, pinned, ship
 
-#: Extra segments as a share of H + 1; segments with one-deletion neighbours; frequent shingles
-#: whose counts steer costs (at least ``FREQUENT`` in a chunk of ``CHUNK`` members).
-SPARE, DELETED, KNOWN, FREQUENT, CHUNK = 0.15, 4, 100_000, 8, 2_000_000
+#: Extra segments as a share of H + 1; segments with one-deletion neighbours; partitions for
+#: sets with many empty segments; frequent shingles whose counts steer costs (at least ``FREQUENT`` in a chunk of ``CHUNK`` members).
+SPARE, DELETED, PARTITIONS, KNOWN, FREQUENT, CHUNK = 0.15, 4, 6, 100_000, 8, 2_000_000
 #: Ids or pairs that may be copied to the executors; beyond it both sides are shuffled.
 COPIED = 1_000_000
 
@@ -91,39 +91,57 @@ def allocate(cost: np.ndarray, with_neighbours: int, units: int) -> np.ndarray:
 
 
 def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Signatures of a set; bit 0 is clear where the set searches by the signature."""
+    """Signatures of a set; bit 0 is clear where the set searches by the signature.
+
+    A set whose allocation leaves out all its empty segments finds each partner by segments
+    that hold members, and all those are indexed.  A set with too many empty segments for that
+    takes part in the next partition of the universe as well, among the sets that had too many
+    in each partition before; in the last one empty segments are indexed and searched.
+    """
     n = len(members)
     if n == 0:
         return np.empty(0, np.uint64)
-    mixes = mixed(members)
     weight = np.zeros(n)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, members), len(hot) - 1)
         weight = np.where(hot[at] == members, counts[at], 0.0)
-    high = members >> np.uint64(32)
-    out = []
-    for band in bands.of_size(n):
-        h, m, with_neighbours = bands.shape(band)
-        # Members are sorted, so each segment is a run of them.
-        segment = ((high * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
-        starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-        held = segment[starts]
-        cost = np.full(m, _EMPTY_COST)
-        cost[held] = np.minimum.reduceat(weight, starts)
-        searched = allocate(cost, with_neighbours, m + with_neighbours - h - 1)
-        place = np.uint64(band * 0x9FB21C651E98DF25 % 2**64) + np.arange(m, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        sums = np.zeros(m, np.uint64)
-        sums[held] = np.add.reduceat(mixes, starts)
-        shown = np.zeros(m, bool)
-        shown[held] = True
-        shown |= searched  # an empty segment is indexed only where it has to be searched
-        sig = mixed(mixed(sums + place) + np.uint64(1)) & ~np.uint64(1)
-        out.append((sig | (~searched).astype(np.uint64))[shown])
-        ends = np.r_[starts[1:], n]
-        for k in range(int(np.searchsorted(held, with_neighbours))):
-            less = sums[held[k]] - mixes[starts[k] : ends[k]]
-            near = mixed(mixed(less + place[held[k]]) + np.uint64(1)) & ~np.uint64(1)
-            out.append(near | np.uint64(not searched[held[k]]))
+    out, open_bands = [], list(bands.of_size(n))
+    for turn in range(PARTITIONS):
+        values, costs = members, weight
+        if turn:
+            values = mixed(members + np.uint64(turn))
+            order = np.argsort(values)
+            values, costs = values[order], weight[order]
+        mixes, high = mixed(values), values >> np.uint64(32)
+        crowded = []
+        for band in open_bands:
+            h, m, with_neighbours = bands.shape(band)
+            # Values are sorted, so each segment is a run of them.
+            segment = ((high * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
+            starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+            held = segment[starts]
+            cost = np.full(m, _EMPTY_COST)
+            cost[held] = np.minimum.reduceat(costs, starts)
+            searched = allocate(cost, with_neighbours, m + with_neighbours - h - 1)
+            shown = cost < _EMPTY_COST
+            if (searched & ~shown).any():
+                if turn + 1 < PARTITIONS:
+                    crowded.append(band)
+                else:
+                    shown[:] = True
+            place = np.uint64((band * PARTITIONS + turn) * 0x9FB21C651E98DF25 % 2**64) + np.arange(m, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            sums = np.zeros(m, np.uint64)
+            sums[held] = np.add.reduceat(mixes, starts)
+            sig = mixed(mixed(sums + place) + np.uint64(1)) & ~np.uint64(1)
+            out.append((sig | (~searched).astype(np.uint64))[shown])
+            ends = np.r_[starts[1:], n]
+            for k in range(int(np.searchsorted(held, with_neighbours))):
+                less = sums[held[k]] - mixes[starts[k] : ends[k]]
+                near = mixed(mixed(less + place[held[k]]) + np.uint64(1)) & ~np.uint64(1)
+                out.append(near | np.uint64(not searched[held[k]]))
+        open_bands = crowded
+        if not open_bands:
+            break
     return np.concatenate(out)
 
 
