@@ -76,26 +76,25 @@ class Bands:
         return h, m, min(m, DELETED)
 
 
-def allocate(cost: np.ndarray, with_neighbours: int, units: int) -> np.ndarray:
-    """Which segments are searched.  Leaving one out takes a unit, or two if it has neighbours;
-    the dearest go first while the units last."""
-    searched = np.ones(len(cost), bool)
-    for k in np.argsort(-cost, kind="stable"):
-        if cost[k] <= 0 or units <= 0:
-            break
-        takes = 2 if k < with_neighbours else 1
-        if takes <= units:
-            searched[k] = False
-            units -= takes
-    return searched
+def allocate(whole: np.ndarray, near: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
+    """What is searched: each segment whole, and the first ones' neighbours too.
+
+    Leaving one of them out gives up one covered difference; the dearest go first while the
+    units last, a segment's neighbours before the segment.
+    """
+    costs = np.r_[near, whole]
+    first = np.argsort(-costs, kind="stable")[:units]
+    searched = np.ones(len(costs), bool)
+    searched[first[costs[first] > 0]] = False
+    return searched[len(near) :], searched[: len(near)]
 
 
 def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Signatures of a set; bit 0 is clear where the set searches by the signature.
 
-    A set whose allocation leaves out all its empty segments finds each partner by segments
-    that hold members, and all those are indexed.  A set with too many empty segments for that
-    takes part in the next partition of the universe as well, among the sets that had too many
+    A set whose allocation leaves out all its empty segments, and the neighbours of those with
+    one member, finds each partner by segments that hold members, and all those are indexed.  A
+    set with too many of them for that takes part in the next partition of the universe as well, among the sets that had too many
     in each partition before; in the last one empty segments are indexed and searched.
     """
     n = len(members)
@@ -120,25 +119,30 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
             segment = ((high * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
             starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
             held = segment[starts]
-            cost = np.full(m, _EMPTY_COST)
+            ends = np.r_[starts[1:], n]
+            cost, near_cost = np.full(m, _EMPTY_COST), np.full(with_neighbours, _EMPTY_COST)
             cost[held] = np.minimum.reduceat(costs, starts)
-            searched = allocate(cost, with_neighbours, m + with_neighbours - h - 1)
-            shown = cost < _EMPTY_COST
-            if (searched & ~shown).any():
+            few = int(np.searchsorted(held, with_neighbours))
+            for k in range(few):
+                if ends[k] - starts[k] > 1:  # without its rarest member
+                    near_cost[held[k]] = np.partition(costs[starts[k] : ends[k]], 1)[1]
+            searched, near_searched = allocate(cost, near_cost, m + with_neighbours - h - 1)
+            shown, near_shown = cost < _EMPTY_COST, near_cost < _EMPTY_COST
+            if (searched & ~shown).any() or (near_searched & ~near_shown).any():
                 if turn + 1 < PARTITIONS:
                     crowded.append(band)
                 else:
-                    shown[:] = True
+                    shown[:] = near_shown[:] = True
             place = np.uint64((band * PARTITIONS + turn) * 0x9FB21C651E98DF25 % 2**64) + np.arange(m, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             sums = np.zeros(m, np.uint64)
             sums[held] = np.add.reduceat(mixes, starts)
             sig = mixed(mixed(sums + place) + np.uint64(1)) & ~np.uint64(1)
             out.append((sig | (~searched).astype(np.uint64))[shown])
-            ends = np.r_[starts[1:], n]
-            for k in range(int(np.searchsorted(held, with_neighbours))):
-                less = sums[held[k]] - mixes[starts[k] : ends[k]]
-                near = mixed(mixed(less + place[held[k]]) + np.uint64(1)) & ~np.uint64(1)
-                out.append(near | np.uint64(not searched[held[k]]))
+            for k in range(few):
+                if near_shown[held[k]]:
+                    less = sums[held[k]] - mixes[starts[k] : ends[k]]
+                    beside = mixed(mixed(less + place[held[k]]) + np.uint64(1)) & ~np.uint64(1)
+                    out.append(beside | np.uint64(not near_searched[held[k]]))
         open_bands = crowded
         if not open_bands:
             break
