@@ -16,10 +16,12 @@ all, so most are equal.  Each set chooses which segments to search by and how (i
 Every segment with members is indexed, so a pair is found when either set searches a segment they share.
 Frequencies only steer costs: any choice finds all pairs.
 
-Signatures are dealt out and sorted by hash.  The sets of a signature are first compared with
-one leader each, which settles large groups in as many comparisons as they have members; pairs
-of one signature that are not in one component by then are compared one by one.  Every
-comparison is exact, on the sets of the whole texts (64-bit hashes of shingles).
+Signatures are dealt out and sorted by hash.  A signature's smallest searching set leads it,
+and each set is first compared with the leader it meets most often, which settles large groups
+in as many comparisons as they have members; pairs of one signature that are not in one
+component by then are compared one by one.  Sketches, parities of hashed members that differ
+in no more bits than the sets in members, spare texts that cannot be linked; every other pair
+is compared exactly, on the sets of the whole texts (64-bit hashes of shingles).
 
 Texts with equal sets form a class and are represented by its smallest id.  A text without
 words, or null, links with nothing.  Rows of one id are one document; a row without an id links
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.graph import connected_components
-from civicspark.llm.shingles import Hasher, fingerprint, mixed
+from civicspark.llm.shingles import Hasher, fingerprint, mixed, sketch, sketch_distance
 from civicspark.llm.support import join_small, pinned, ship
 
 #: Extra segments as a share of H + 1; segments with one-deletion neighbours; partitions for
@@ -82,10 +84,12 @@ def allocate(whole: np.ndarray, near: np.ndarray, units: int) -> tuple[np.ndarra
     Leaving one of them out gives up one covered difference; the dearest go first while the
     units last, a segment's neighbours before the segment.
     """
-    costs = np.r_[near, whole]
-    first = np.argsort(-costs, kind="stable")[:units]
+    costs = np.concatenate([near, whole])
     searched = np.ones(len(costs), bool)
-    searched[first[costs[first] > 0]] = False
+    dear = np.flatnonzero(costs)
+    if len(dear) > units:
+        dear = dear[np.argsort(-costs[dear], kind="stable")[:units]]
+    searched[dear] = False
     return searched[len(near) :], searched[: len(near)]
 
 
@@ -104,7 +108,7 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
     if len(hot):
         at = np.minimum(np.searchsorted(hot, members), len(hot) - 1)
         weight = np.where(hot[at] == members, counts[at], 0.0)
-    out, open_bands = [], list(bands.of_size(n))
+    out, open_bands, any_hot = [], list(bands.of_size(n)), bool(weight.any())
     for turn in range(PARTITIONS):
         values, costs = members, weight
         if turn:
@@ -117,7 +121,7 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
             h, m, with_neighbours = bands.shape(band)
             # Values are sorted, so each segment is a run of them.
             segment = ((high * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
-            starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+            starts = np.concatenate([[0], np.flatnonzero(segment[1:] != segment[:-1]) + 1])
             held = segment[starts]
             ends = np.r_[starts[1:], n]
             cost, near_cost = np.full(m, _EMPTY_COST), np.full(with_neighbours, _EMPTY_COST)
@@ -125,7 +129,7 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
             few = int(np.searchsorted(held, with_neighbours))
             for k in range(few):
                 if ends[k] - starts[k] > 1:  # without its rarest member
-                    near_cost[held[k]] = np.partition(costs[starts[k] : ends[k]], 1)[1]
+                    near_cost[held[k]] = np.partition(costs[starts[k] : ends[k]], 1)[1] if any_hot else 0.0
             searched, near_searched = allocate(cost, near_cost, m + with_neighbours - h - 1)
             shown, near_shown = cost < _EMPTY_COST, near_cost < _EMPTY_COST
             if (searched & ~shown).any() or (near_searched & ~near_shown).any():
@@ -136,12 +140,12 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
             place = np.uint64((band * PARTITIONS + turn) * 0x9FB21C651E98DF25 % 2**64) + np.arange(m, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             sums = np.zeros(m, np.uint64)
             sums[held] = np.add.reduceat(mixes, starts)
-            sig = mixed(mixed(sums + place) + np.uint64(1)) & ~np.uint64(1)
+            sig = mixed(sums + place) & ~np.uint64(1)
             out.append((sig | (~searched).astype(np.uint64))[shown])
             for k in range(few):
                 if near_shown[held[k]]:
                     less = sums[held[k]] - mixes[starts[k] : ends[k]]
-                    beside = mixed(mixed(less + place[held[k]]) + np.uint64(1)) & ~np.uint64(1)
+                    beside = mixed(less + place[held[k]]) & ~np.uint64(1)
                     out.append(beside | np.uint64(not near_searched[held[k]]))
         open_bands = crowded
         if not open_bands:
@@ -150,9 +154,10 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds.  kind 0: id, set size n and fingerprint (a, b).  kind 1: a frequent
-    shingle (a) with its number of sets (b) in one chunk; equal sets of a chunk count once."""
+    """Rows of two kinds.  kind 0: id, set size n, fingerprint (a, b) and sketch.  kind 1: a
+    frequent shingle (a) with its number of sets (b) in one chunk; equal sets of a chunk count once."""
     ship(docs.sparkSession)
+    names = ["kind", "id", "n", "a", "b", "sketch"]
 
     def run(batches):
         hasher = Hasher()
@@ -163,13 +168,14 @@ def describe(docs: DataFrame) -> DataFrame:
             often = n >= FREQUENT
             values, n = values[often].view(np.int64), n[often]
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()), pa.array(values), pa.array(n)],
-                names=["kind", "id", "n", "a", "b"])
+                [pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()), pa.array(values), pa.array(n), pa.nulls(len(values), pa.binary())],
+                names=names)
 
         for batch in batches:
-            sizes, prints = [], []
+            sizes, prints, sketches = [], [], []
             for text in batch.column(1).to_pylist():
                 members = hasher.members(text)
+                sketches.append(sketch(members))
                 print_ = fingerprint(members)
                 sizes.append(len(members))
                 prints.append(print_)
@@ -182,12 +188,12 @@ def describe(docs: DataFrame) -> DataFrame:
                         held, seen, n_held = [], set(), 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(sizes), np.int32)), batch.column(0), pa.array(sizes, pa.int64()),
-                 pa.array([a for a, _ in prints], pa.int64()), pa.array([b for _, b in prints], pa.int64())],
-                names=["kind", "id", "n", "a", "b"])
+                 pa.array([a for a, _ in prints], pa.int64()), pa.array([b for _, b in prints], pa.int64()), pa.array(sketches, pa.binary())],
+                names=names)
         if held:
             yield frequent()
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "kind int, id bigint, n bigint, a bigint, b bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "kind int, id bigint, n bigint, a bigint, b bigint, sketch binary")
     return pinned(rows, "shingle-sets")
 
 
@@ -271,8 +277,25 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
     return pinned(dealt.mapInArrow(run, "key bigint, id bigint, searches boolean, leader bigint"), "shared-signatures")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+def plausible(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs whose sketches differ in no more bits than sets that reach the threshold may."""
+    one = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    two = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    both = pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    top, bottom = threshold.numerator, threshold.denominator
+
+    def run(batches):
+        for batch in batches:
+            n_a, n_b, s_a, s_b = (batch.column(i).to_pylist() for i in range(2, 6))
+            mask = pa.array([(bottom + top) * sketch_distance(s, t) <= (bottom - top) * (m + n) for m, n, s, t in zip(n_a, n_b, s_a, s_b, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold: by sketches first, then by the sets."""
+    pairs = pinned(plausible(pairs, sketches, threshold), "plausible-pairs")
     n = pairs.count()
     right = join_small(texts.withColumnRenamed("id", "b"), pairs, ["b"], "inner", n, COPIED).withColumnRenamed("text", "text_b")
     wanted = pairs.select(F.col("a").alias("id")).distinct()
@@ -315,8 +338,13 @@ def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     texts = single.select(F.col("doc_id").cast("bigint").alias("id"), "text")
 
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    star = pinned(hits.where("id <> leader").select(*ordered(F.col("leader"), F.col("id"))).distinct(), "leader-pairs")
-    linked = pinned(verify(star, texts, threshold), "leader-links")
+    sketches = pinned(described.where("kind = 0 AND id IS NOT NULL AND n > 0").groupBy("id").agg(
+        F.max_by(F.struct("n", "sketch"), "n").alias("s")).select("id", "s.*"), "sketches")
+    # Each set is compared with the leader it meets most often.
+    met = hits.where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("times"))
+    best = met.groupBy("id").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("m"))
+    star = pinned(best.select(*ordered(-F.col("m.leader"), F.col("id"))).distinct(), "leader-pairs")
+    linked = pinned(verify(star, sketches, texts, threshold), "leader-links")
     same_id = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     settled = connected_components(linked.unionByName(same_id))
 
@@ -324,8 +352,7 @@ def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     n_settled = settled.count()
     placed = join_small(hits.drop("leader"), settled, ["id"], "left", n_settled).withColumn("component", F.coalesce("component_id", "id")).drop("component_id")
     mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    sizes = named.groupBy("id").agg(F.max("n").alias("n"))
-    left = pinned(placed.join(mixed_keys, "key").join(sizes, "id"), "open-signatures")
+    left = pinned(placed.join(mixed_keys, "key").join(sketches.select("id", "n"), "id"), "open-signatures")
     x, y = left.where("searches").alias("x"), left.alias("y")
     low, high = threshold.numerator, threshold.denominator
     open_pairs = (
@@ -334,7 +361,7 @@ def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
         .where((F.col("x.n") * high >= F.col("y.n") * low) & (F.col("y.n") * high >= F.col("x.n") * low))
         .select(*ordered(F.col("x.id"), F.col("y.id"))).distinct())
     rest = pinned(open_pairs.join(star, ["a", "b"], "left_anti"), "open-pairs")
-    more = verify(rest, texts, threshold)
+    more = verify(rest, sketches, texts, threshold)
     roots = connected_components(linked.unionByName(more).unionByName(same_id))
 
     placed = sets.join(roots, "id", "left")

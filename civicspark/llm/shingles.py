@@ -28,31 +28,53 @@ class Hasher:
     """Hashes of words, remembered up to a number of words."""
 
     def __init__(self, most: int = 300_000):
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes, bytes] = {}
         self.most = most
 
+    def _make(self, word: bytes) -> bytes:
+        made = self.known[word] = xxhash.xxh64_digest(word)
+        return made
+
     def words(self, text: str) -> np.ndarray:
         parts = text.encode("utf-8", "surrogatepass").lower().split()  # both are ASCII only on bytes
-        known, digest = self.known, xxhash.xxh64_intdigest
-        if len(known) > self.most:
-            known.clear()
-        out = [known.get(w) for w in parts]
-        for i, h in enumerate(out):
-            if h is None:
-                w = parts[i]
-                out[i] = known[w] = digest(w)
-        return np.array(out, np.uint64)
+        if len(self.known) > self.most:
+            self.known.clear()
+        get, make = self.known.get, self._make
+        return np.frombuffer(b"".join([get(w) or make(w) for w in parts]), np.uint64)
 
     def members(self, text: str | None) -> np.ndarray:
-        """Sorted distinct shingle hashes of a text."""
+        """Sorted distinct shingle hashes of a text: a polynomial of the word hashes, mixed."""
         h = self.words(text) if text else np.empty(0, np.uint64)
         if len(h) == 0:
             return h
         width = min(WIDTH, len(h))
         rolled = np.full(len(h) - width + 1, np.uint64(width))
         for j in range(width):
-            rolled = mixed(rolled * _STEP + h[j : len(h) - width + 1 + j])
-        return np.unique(rolled)
+            rolled *= _STEP
+            rolled += h[j : len(h) - width + 1 + j]
+        rolled = mixed(rolled)
+        rolled.sort()
+        return rolled[np.r_[True, rolled[1:] != rolled[:-1]]]
+
+
+def sketch(members: np.ndarray) -> bytes:
+    """Parities of the members by their low bits; as many bits as members, rounded up to a power of two.
+
+    Two sketches differ in at most as many bits as their sets do in members.
+    """
+    bits = max(64, 1 << (len(members) - 1).bit_length()) if len(members) else 64
+    counts = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer folded to the length of the shorter."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def fingerprint(members: np.ndarray) -> tuple[int, int]:
