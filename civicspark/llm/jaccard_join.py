@@ -18,8 +18,8 @@ Frequencies only steer costs: any choice finds all pairs.
 
 Signatures are dealt out and sorted by hash.  A signature's smallest searching set leads it,
 and each set is first compared with the leader it meets most often, which settles large groups
-in as many comparisons as they have members; pairs of one signature that are not in one
-component by then are compared one by one.  Sketches, parities of hashed members that differ
+in as many comparisons as they have members, as do a few rounds with other leaders; pairs of
+one signature that are not in one component by then are compared one by one.  Sketches, parities of hashed members that differ
 in no more bits than the sets in members, spare texts that cannot be linked; every other pair
 is compared exactly, on the sets of the whole texts (64-bit hashes of shingles).
 
@@ -45,6 +45,8 @@ from civicspark.llm.support import join_small, pinned, ship
 #: Extra segments as a share of H + 1; segments with one-deletion neighbours; partitions for
 #: sets with many empty segments; frequent shingles whose counts steer costs (at least ``FREQUENT`` in a chunk of ``CHUNK`` members).
 SPARE, DELETED, PARTITIONS, KNOWN, FREQUENT, CHUNK = 0.15, 4, 6, 100_000, 8, 2_000_000
+#: Rounds with other leaders before the pairs that are left are compared one by one.
+LEADERS = 3
 #: Ids or pairs that may be copied to the executors; beyond it both sides are shuffled.
 COPIED = 1_000_000
 
@@ -322,6 +324,14 @@ def verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: F
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def open_signatures(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    """The rows, with their sets' components, of signatures that hold more than one component."""
+    placed = join_small(rows, settled, ["id"], "left", settled.count()).withColumn(
+        "component", F.coalesce("component_id", "id")).drop("component_id")
+    keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    return pinned(placed.join(keys, "key"), "open-signatures")
+
+
 def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     described = describe(docs)
@@ -346,23 +356,28 @@ def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     star = pinned(best.select(*ordered(-F.col("m.leader"), F.col("id"))).distinct(), "leader-pairs")
     linked = pinned(verify(star, sketches, texts, threshold), "leader-links")
     same_id = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    settled = connected_components(linked.unionByName(same_id))
-
-    # Signatures whose sets are in one component by now have nothing left to find.
-    n_settled = settled.count()
-    placed = join_small(hits.drop("leader"), settled, ["id"], "left", n_settled).withColumn("component", F.coalesce("component_id", "id")).drop("component_id")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    left = pinned(placed.join(mixed_keys, "key").join(sketches.select("id", "n"), "id"), "open-signatures")
-    x, y = left.where("searches").alias("x"), left.alias("y")
-    low, high = threshold.numerator, threshold.denominator
+    linked, tested = linked.unionByName(same_id), star
+    left = open_signatures(hits.drop("leader").join(sketches.select("id", "n"), "id"), connected_components(linked))
+    similar_size = (F.col("x.n") * threshold.denominator >= F.col("y.n") * threshold.numerator) & (
+        F.col("y.n") * threshold.denominator >= F.col("x.n") * threshold.numerator)
+    for turn in range(LEADERS):
+        # Another leader for each open signature: outsiders of a large group try other members.
+        lead = left.where("searches").groupBy("key").agg(
+            F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(turn))).alias("x"))
+        met = left.alias("y").join(lead, "key").where((F.col("x.component") != F.col("y.component")) & similar_size)
+        met = met.groupBy(F.col("y.id").alias("id"), F.col("x.id").alias("leader")).agg(F.count("*").alias("times"))
+        met = met.select(*ordered(F.col("id"), F.col("leader")), "id", "times").join(tested, ["a", "b"], "left_anti")
+        best = met.groupBy("id").agg(F.max(F.struct("times", "a", "b")).alias("m"))
+        pairs = pinned(best.select("m.a", "m.b").distinct(), "leader-pairs")
+        linked = linked.unionByName(pinned(verify(pairs, sketches, texts, threshold), "leader-links"))
+        tested = tested.unionByName(pairs)
+        left = open_signatures(left.drop("component"), connected_components(linked))
     open_pairs = (
-        x.join(y, F.col("x.key") == F.col("y.key"))
-        .where("x.component <> y.component AND (NOT y.searches OR x.id < y.id)")
-        .where((F.col("x.n") * high >= F.col("y.n") * low) & (F.col("y.n") * high >= F.col("x.n") * low))
+        left.where("searches").alias("x").join(left.alias("y"), F.col("x.key") == F.col("y.key"))
+        .where((F.col("x.component") != F.col("y.component")) & similar_size & (~F.col("y.searches") | (F.col("x.id") < F.col("y.id"))))
         .select(*ordered(F.col("x.id"), F.col("y.id"))).distinct())
-    rest = pinned(open_pairs.join(star, ["a", "b"], "left_anti"), "open-pairs")
-    more = verify(rest, sketches, texts, threshold)
-    roots = connected_components(linked.unionByName(more).unionByName(same_id))
+    rest = pinned(open_pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+    roots = connected_components(linked.unionByName(verify(rest, sketches, texts, threshold)))
 
     placed = sets.join(roots, "id", "left")
     return placed.select(
