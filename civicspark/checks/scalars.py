@@ -30,11 +30,27 @@ _YEAR = r"""coalesce(
     try_cast(regexp_extract(band, 'before (\d{4})', 1) AS integer),
     try_cast(regexp_extract(band, '(\d{4}) onwards', 1) AS integer),
     try_cast(regexp_extract(band, '(\d{4})', 1) AS integer))"""
-_EPOCH = """CASE WHEN built IS NULL THEN 'Unknown' WHEN built > 1930 THEN '1930 to present'
-    WHEN built < 1900 THEN 'Before 1900' ELSE '1900 - 1930' END"""
-_CATEGORY = """CASE WHEN tenure IN ('owner-occupied', 'Owner-occupied') THEN 'Owner occupied'
-    WHEN tenure IN ('Rented (social)', 'rental (social)') THEN 'Social rented'
-    WHEN tenure IN ('Rented (private)', 'rental (private)') THEN 'Private rented' END"""
+# Epochs by their first and last year, and the spellings of each tenure.
+_EPOCHS = (("Before 1900", None, 1899), ("1900 - 1930", 1900, 1930), ("1930 to present", 1931, None))
+_TENURES_OF = (
+    ("owner-occupied", "Owner occupied"), ("Owner-occupied", "Owner occupied"),
+    ("Rented (social)", "Social rented"), ("rental (social)", "Social rented"),
+    ("rental (private)", "Private rented"), ("Rented (private)", "Private rented"),
+)
+
+
+def _sql_value(value) -> str:
+    return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(map(_sql_value, row)) + ")" for row in rows)
+
+
+_EPOCH = f"""coalesce((SELECT name FROM (VALUES {_values(_EPOCHS)}) AS e(name, low, high)
+    WHERE built >= coalesce(low, built) AND built <= coalesce(high, built)), 'Unknown')"""
+_CATEGORY = f"""(SELECT category FROM (VALUES {_values(_TENURES_OF)}) AS t(spelling, category)
+    WHERE spelling = tenure)"""
 
 
 @check("age_band_year", f"""
@@ -76,9 +92,11 @@ _PLACES = """SELECT c_custkey,
     CASE WHEN c_custkey % 7 = 0 THEN NULL
         ELSE cast(c_custkey % 90 AS double) + cast(0.25 AS double) END AS lat,
     CASE WHEN c_custkey % 5 = 0 THEN NULL
+        WHEN c_custkey % 11 = 0 THEN cast(c_custkey AS double) / cast(10000000 AS double)
+        WHEN c_custkey % 13 = 0 THEN cast(0 AS double) - cast(c_custkey AS double) * cast(1234567.75 AS double)
         ELSE cast(c_custkey % 50 AS double) / cast(8 AS double) - cast(3 AS double) END AS long
 FROM {customer}"""
-_NUMBER = r"regexp_replace(cast({0} AS string), '\.0$', '')"
+_NUMBER = r"regexp_replace(printf('%.20f', {0}), '\.?0+$', '')"
 
 
 @check("geo_point_text", f"""
@@ -159,7 +177,7 @@ def code_chunks(spark, sf_dir):
     codes = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("L"), F.col("o_custkey").cast("string")).alias("lsoa21cd")
     )
-    return small_area_chunks(codes)
+    return small_area_chunks(codes).drop("members")
 
 
 @check("chunk_clauses", """
@@ -173,7 +191,7 @@ def chunk_clauses(spark, sf_dir):
     codes = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("code")
     )
-    return chunk_filters(chunk_codes(codes, "code", 250), "partcd").select("chunk", "clause")
+    return chunk_filters(chunk_codes(codes, "code", 250, separator="|"), "partcd").select("chunk", "clause")
 
 
 @check("select_by_regex", """

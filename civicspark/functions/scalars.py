@@ -103,9 +103,33 @@ def concat_nulls_empty(*parts: Column) -> Column:
     return F.concat_ws("", *[part.cast("string") for part in parts])
 
 
+def plain_number(value: Column | str) -> Column:
+    """A double as text in plain notation, with all its digits; whole numbers keep ``.0``.
+
+    From 1e16 on, and below 1e-4, the text is in scientific notation as SQL engines print it.
+    """
+    value = _col(value).cast("double")
+    size = F.abs(value)
+    exact = value.cast("string")
+    digits = F.regexp_replace(F.regexp_extract(exact, r"^-?([0-9.]+)E", 1), r"\.", "")
+    power = F.regexp_extract(exact, r"E(-?[0-9]+)$", 1).try_cast("int")
+    sign = F.when(value < 0, "-").otherwise("")
+    # 1.2345E7: the point moves right behind digit 8, zeros fill what is missing.
+    padded = F.rpad(digits, F.greatest(power + 2, F.length(digits)), "0")
+    large = F.concat(sign, F.substring(padded, F.lit(1), power + 1), F.lit("."), F.substring(padded, power + 2, F.length(padded)))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), F.regexp_replace(digits, "0+$", ""))
+    mantissa, scientific = F.regexp_replace(F.regexp_extract(exact, r"^(-?[0-9.]+)E", 1), r"\.0$", ""), exact.contains("E")
+    outside = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return (
+        F.when(~scientific, exact)
+        .when((size >= 1e16) | (size < 1e-4), outside)
+        .when(power > 0, large)
+        .otherwise(small))
+
+
 def point_label(lat: Column | str, long: Column | str) -> Column:
-    """``{lat, long}``."""
-    return concat_nulls_empty(F.lit("{"), _col(lat), F.lit(", "), _col(long), F.lit("}"))
+    """``{lat, long}``, numbers in plain notation."""
+    return concat_nulls_empty(F.lit("{"), plain_number(lat), F.lit(", "), plain_number(long), F.lit("}"))
 
 
 def slug(text: Column | str) -> Column:
@@ -132,8 +156,3 @@ def months_after(date: Column | str, months: int = 1) -> tuple[Column, Column]:
     """(year, month) of a date moved by whole months."""
     moved = F.add_months(_col(date), months)
     return F.year(moved), F.month(moved)
-
-
-def month_index(year: Column | str, month: Column | str) -> Column:
-    """Months on one axis, so that a period range is a plain BETWEEN."""
-    return _col(year) * 12 + _col(month)

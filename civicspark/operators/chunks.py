@@ -46,7 +46,8 @@ def number_in_order(df: DataFrame, column: str, name: str = "position") -> DataF
 def chunk_codes(
     df: DataFrame, column: str, size: int = 100, separator: str = ","
 ) -> DataFrame:
-    """(chunk, n_codes, codes): distinct codes in order, ``size`` to a chunk, as text."""
+    """(chunk, n_codes, codes, members): distinct codes in order, ``size`` to a chunk, as
+    joined text and as an array."""
     codes = df.select(quoted(column).alias("code")).where("code IS NOT NULL").distinct()
     numbered = number_in_order(codes, "code").withColumn(
         "chunk", F.floor(F.col("position") / size).cast("long")
@@ -55,15 +56,12 @@ def chunk_codes(
     return (
         numbered.groupBy("chunk")
         .agg(members.alias("__members"), F.count(F.lit(1)).alias("n_codes"))
-        .select(
-            "chunk",
-            "n_codes",
-            F.array_join(F.transform("__members", lambda m: m["code"]), separator).alias("codes"),
-        )
+        .select("chunk", "n_codes", F.transform("__members", lambda m: m["code"]).alias("members"))
+        .select("chunk", "n_codes", F.array_join("members", separator).alias("codes"), "members")
     )
 
 
 def chunk_filters(chunks: DataFrame, code_name: str) -> DataFrame:
-    """The membership clause of each chunk, ``name IN ('a', 'b')``."""
-    listed = F.concat(F.lit("('"), F.replace("codes", F.lit(","), F.lit("', '")), F.lit("')"))
-    return chunks.withColumn("clause", F.concat(F.lit(f"{code_name} IN "), listed))
+    """The membership clause of each chunk, ``name IN ('a', 'b')``; quotes are doubled."""
+    literals = F.transform("members", lambda m: F.concat(F.lit("'"), F.replace(m, F.lit("'"), F.lit("''")), F.lit("'")))
+    return chunks.withColumn("clause", F.concat(F.lit(f"{code_name} IN ("), F.array_join(literals, ", "), F.lit(")")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -9,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.functions.scalars import matches, month_index
+from civicspark.functions.scalars import matches
 from civicspark.operators.columns import quoted
 from civicspark.operators.joins import semi_join_codes
 from civicspark.operators.quality import require_columns
@@ -92,9 +93,11 @@ def in_months(
     first: tuple[int, int],
     last: tuple[int, int],
 ) -> DataFrame:
-    """rows dated from the first (year, month) to the last, both included."""
+    """rows dated from the first (year, month) to the last, both included.
+
+    The bounds are dates, so that a scan can skip what lies outside them.
+    """
     date = quoted(date) if isinstance(date, str) else date
-    months = month_index(F.year(date), F.month(date))
-    return df.where(
-        months.between(first[0] * 12 + first[1], last[0] * 12 + last[1])
-    )
+    begin = datetime.date(first[0], first[1], 1)
+    end = datetime.date(last[0] + last[1] // 12, last[1] % 12 + 1, 1)
+    return df.where((date >= F.lit(begin)) & (date < F.lit(end)))

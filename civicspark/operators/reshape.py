@@ -19,24 +19,34 @@ def pivot_unique(
     values: str,
     labels: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Long to wide without aggregation.
+    """Long to wide without aggregation, in one shuffle.
 
-    A cell that two rows claim is an error when the result is computed.  Pass the labels
-    to spare the job that looks them up; labels become columns, so there are few of them.
+    A cell that two rows claim is an error when the result is computed, and so is a label that
+    is not listed.  Pass the labels to spare the job that looks them up; labels become columns,
+    so there are few of them.
     """
     require_columns(df, [*index, on, values])
-    cells = df.groupBy(*[quoted(i) for i in index], quoted(on).alias("__label")).agg(
-        F.max(quoted(values)).alias("__value"), F.count(F.lit(1)).alias("__claims")
+    if labels is None:
+        found = df.select(quoted(on).alias("label")).distinct().orderBy("label")
+        labels = [r["label"] for r in found.collect()]
+    label, value = quoted(on), quoted(values)
+    hit = [label.eqNullSafe(F.lit(x)) for x in labels]
+    known = hit[0] if hit else F.lit(False)
+    for h in hit[1:]:
+        known = known | h
+    cells = df.groupBy(*[quoted(i) for i in index]).agg(
+        *[F.max(F.when(h, value)).alias(f"__v{k}") for k, h in enumerate(hit)],
+        *[F.count(F.when(h, 1)).alias(f"__n{k}") for k, h in enumerate(hit)],
+        F.max(F.when(~known, label.cast("string"))).alias("__unlisted"),
     )
-    claimed_twice = F.raise_error(
-        F.concat(F.lit("pivot: more than one value for label "), F.col("__label").cast("string"))
-    ).cast(df.schema[values].dataType)
-    cells = cells.withColumn(
-        "__value", F.when(F.col("__claims") > 1, claimed_twice).otherwise(F.col("__value"))
-    )
-    grouped = cells.groupBy(*[quoted(i) for i in index])
-    wide = grouped.pivot("__label", list(labels)) if labels else grouped.pivot("__label")
-    return wide.agg(F.first("__value", ignorenulls=True))
+    failed = lambda text, x: F.raise_error(F.concat(F.lit(text), x)).cast(df.schema[values].dataType)
+    columns = [
+        F.when(F.col("__unlisted").isNotNull(), failed("pivot: unlisted label ", F.col("__unlisted")))
+        .when(F.col(f"__n{k}") > 1, failed("pivot: more than one value for label ", F.lit(str(x))))
+        .otherwise(F.col(f"__v{k}")).alias("null" if x is None else str(x))
+        for k, x in enumerate(labels)
+    ]
+    return cells.select(*[quoted(i) for i in index], *columns)
 
 
 def joint_label(*values) -> str:

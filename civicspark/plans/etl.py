@@ -207,7 +207,7 @@ def run_full_etl(
             def certificates(name=name, cert_type=cert_type, transform=transform) -> DataFrame:
                 pages = read_certificate_pages(
                     spark, _join_path(landing, name), cert_type,
-                    from_period=start, to_period=end,
+                    from_period=start, to_period=end, multi_line=multi_line,
                 )
                 if codes is not None:
                     pages = in_codes(pages, "local-authority", codes)

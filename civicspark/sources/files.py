@@ -35,10 +35,27 @@ def read_csv(
     """Files with a full declared schema.
 
     Spark matches CSV columns by position, so the header is checked and a file with other
-    or reordered columns fails.  A field may hold quoted line breaks; where none does,
+    or reordered columns fails, and so does a cell that does not fit its type or a line with
+    more or fewer fields.  A field may hold quoted line breaks; where none does,
     ``multi_line=False`` lets Spark split large files over tasks.
     """
-    return spark.read.csv(path, schema=schema, enforceSchema=False, multiLine=multi_line, **_QUOTING)
+    return spark.read.csv(
+        path, schema=schema, enforceSchema=False, mode="FAILFAST", multiLine=multi_line, **_QUOTING
+    )
+
+
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths, or patterns, under which something lies; the others are logged."""
+    found = []
+    for path in paths:
+        try:
+            spark.read.text(path)
+            found.append(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            log.warning("Nothing landed at %s", path)
+    return found
 
 
 def infer_csv_schema(
@@ -164,20 +181,19 @@ def read_certificate_pages(
     local_authority: str | list[str] | None = None,
     from_period: tuple[int, int] | None = None,
     to_period: tuple[int, int] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Landed certificate pages, each file with its own header.
 
     Filters by authority and by lodgement month, (year, month) at both ends; the default
-    end is the previous month.  Nothing landed gives an empty frame with the full schema.
+    end is the previous month.  A path where nothing landed adds no rows; with none left the
+    frame is empty and has the full schema.  ``multi_line`` as for :func:`read_csv`.
     """
     schema = page_schema(require_certificate_type(cert_type))
-    try:
-        pages = read_csv(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        log.warning("No certificate pages at %s", path)
+    paths = existing_paths(spark, [path] if isinstance(path, str) else list(path))
+    if not paths:
         return spark.createDataFrame([], schema)
+    pages = read_csv(spark, paths, schema, multi_line)
     if local_authority is not None:
         codes = [local_authority] if isinstance(local_authority, str) else list(local_authority)
         pages = pages.where(quoted("local-authority").isin(codes))

@@ -23,6 +23,7 @@ def collect_new_files(
     checkpoint: str,
     file_format: str = "csv",
     max_files_per_batch: int = 1000,
+    multi_line: bool = True,
 ) -> None:
     """Read every landed file not seen before, then stop.
 
@@ -38,7 +39,7 @@ def collect_new_files(
     if file_format == "csv":
         for key, value in {
             "header": True, "quote": '"', "escape": '"',
-            "enforceSchema": False, "multiLine": True,
+            "enforceSchema": False, "mode": "FAILFAST", "multiLine": multi_line,
         }.items():
             reader = reader.option(key, value)
 
@@ -91,13 +92,14 @@ def refresh_table(
     order: Sequence[str] = ("LODGEMENT_DATETIME",),
     file_format: str = "csv",
     after_batch: int = -1,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Take in new files, then write base and updates as one table to a new path.
 
     However many micro-batches the new files make, the table is rewritten once.  When the
     base is an earlier refresh, ``after_batch`` names the last batch it already holds.
     """
-    collect_new_files(spark, landed, schema, updates, checkpoint, file_format)
+    collect_new_files(spark, landed, schema, updates, checkpoint, file_format, multi_line=multi_line)
     batches = collected_updates(spark, updates, after_batch)
     merged = base if batches is None else apply_updates(base, batches, key, order)
     return replace_table(merged, target)

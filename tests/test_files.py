@@ -88,7 +88,7 @@ def page_of(rows):
 
 
 def test_s5_s14_every_row_of_every_page(spark, tmp_path):
-    put(tmp_path / "p/1.csv", page_of([("k1", "A1", "2024-01-31", "10.50"), ("k2", "A1", "2024-02-01", "n/a")]))
+    put(tmp_path / "p/1.csv", page_of([("k1", "A1", "2024-01-31", "10.50"), ("k2", "A1", "2024-02-01", "2.00")]))
     put(tmp_path / "p/2.csv", page_of([("k3", "A2", "2024-02-10", "1"), ("k4", "A1", "2024-03-01", "1")]))
     put(tmp_path / "p/3.csv", page_of([]))
     path = str(tmp_path / "p")
@@ -104,6 +104,24 @@ def test_s5_s14_every_row_of_every_page(spark, tmp_path):
     assert keys(local_authority=["A1", "A2"], from_period=(2024, 2), to_period=(2024, 3)) == ["k2", "k3", "k4"]
 
 
+def test_s5_bad_cell_and_missing_path(spark, tmp_path):
+    good, bad = str(tmp_path / "good.csv"), str(tmp_path / "bad.csv")
+    put(tmp_path / "good.csv", page_of([("k1", "A1", "2024-01-31", "10.50")]))
+    put(tmp_path / "bad.csv", page_of([("k2", "A1", "2024-02-01", "n/a")]))
+    for multi_line in (True, False):
+        pages = read_certificate_pages(spark, [good, str(tmp_path / "none.csv")], multi_line=multi_line)
+        assert [r["lmk-key"] for r in pages.collect()] == ["k1"]
+        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+            read_certificate_pages(spark, [good, bad], multi_line=multi_line).collect()
+
+
+@pytest.mark.parametrize("line", ["1,xx,a", "2,3,b,extra", "3,4"])
+def test_s1_lines_that_do_not_fit_fail(spark, tmp_path, line):
+    put(tmp_path / "t.csv", f"k,n,t\n0,1,z\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        read_csv(spark, str(tmp_path / "t.csv"), "k int, n int, t string").collect()
+
+
 def test_s14_nothing_landed_and_bad_type(spark, tmp_path):
     empty = read_certificate_pages(spark, str(tmp_path / "none"), "non-domestic")
     assert empty.count() == 0 and len(empty.columns) == 41

@@ -14,6 +14,7 @@ from civicspark.operators.columns import (
 from civicspark.operators.joins import (
     enrich, enrich_dimension, latest_per_key, lookup_join, semi_join_codes,
 )
+from civicspark.operators.reshape import pivot_unique
 from civicspark.operators.sets import append_rows, first_rows, first_rows_by, table_counts, union_all
 from tests.conftest import rows_of
 
@@ -237,3 +238,18 @@ def test_c16_numbers_and_chunks(spark):
     assert ",".join(r["codes"] for r in chunks) == ",".join(codes)
     clause = chunk_filters(chunk_codes(df.where("code < 'E00002'"), "code"), "lsoa21cd").first()["clause"]
     assert clause == "lsoa21cd IN ('E00000', 'E00001')"
+
+
+def test_c16_quotes_and_other_separators(spark):
+    codes = spark.createDataFrame([("a,b",), ("c'd",), ("e|f",)], "code string")
+    clause = chunk_filters(chunk_codes(codes, "code", separator="|"), "x").first()["clause"]
+    assert clause == "x IN ('a,b', 'c''d', 'e|f')"
+
+
+def test_r1_unlisted_label_fails_and_one_shuffle(spark):
+    long = spark.createDataFrame([(1, "a", 5), (1, "zz", 6)], "k int, label string, v int")
+    with pytest.raises(Exception, match="unlisted label zz"):
+        pivot_unique(long, ["k"], "label", "v", ["a"]).collect()
+    wide = pivot_unique(long, ["k"], "label", "v", ["a", "zz"])
+    assert [tuple(r) for r in wide.collect()] == [(1, 5, 6)]
+    assert wide._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
