@@ -1,7 +1,9 @@
 """Points and rings without a spatial extension.
 
 A point is ``struct<x, y>``.  A parsed geometry is ``struct<kind, parts>`` with
-``parts[polygon][ring][point]``; a POINT or LINESTRING is one polygon with one ring.
+``parts[polygon][ring][point]``; a POINT, MULTIPOINT or LINESTRING is one polygon with one
+ring, a MULTILINESTRING one polygon with a ring for each line, and a GEOMETRYCOLLECTION has the
+polygons of all its members.  An EMPTY geometry has no parts.
 """
 
 from __future__ import annotations
@@ -39,29 +41,49 @@ _SPELLINGS = {":+": ":", ":.": ":0.", ":-.": ":-0.", ".,": ".0,", ".}": ".0}"}
 _PAIR = r"([^\s,()]+)\s+([^\s,()]+)(?:\s+[^\s,()]+)*"
 
 
-def parse_wkt(text: Column | str) -> Column:
-    """POINT, LINESTRING, POLYGON and MULTIPOLYGON text to nested coordinates.
+def _kind(text: Column) -> Column:
+    return F.upper(F.trim(F.regexp_replace(F.substring_index(text, "(", 1), r"(?i)\s+EMPTY\s*$", "")))
 
-    The text becomes a JSON document (pairs to objects, parentheses to brackets) for one
-    native parse.  Ordinates after the second are left out.  Text without parentheses
-    gives NULL, text with malformed coordinates a geometry of NULL parts.
-    """
-    text = _col(text).cast("string")
+
+def _parts(text: Column) -> Column:
+    """The parts of one geometry as JSON: pairs to objects, parentheses to brackets."""
     start = F.instr(text, "(")
-    kind = F.upper(F.trim(F.substring_index(text, "(", 1)))
-    pairs = F.regexp_replace(text.substr(start, F.length(text)), _PAIR, '{"x":$1,"y":$2}')
+    kind = _kind(text)
+    body = text.substr(start, F.length(text))
+    # Each point of a MULTIPOINT may stand in parentheses of its own.
+    body = F.when(
+        kind.startswith("MULTIPOINT"), F.concat(F.lit("("), F.translate(body, "()", ""), F.lit(")"))
+    ).otherwise(body)
+    pairs = F.regexp_replace(body, _PAIR, '{"x":$1,"y":$2}')
     for spelling, plain in _SPELLINGS.items():
         pairs = F.replace(pairs, F.lit(spelling), F.lit(plain))
-    nested = F.translate(pairs, "()", "[]")
-    missing = F.when(kind.startswith("MULTIPOLYGON"), "").when(kind.startswith("POLYGON"), "[")
+    flat = kind.startswith("POLYGON") | kind.startswith("MULTILINESTRING")
+    missing = F.when(kind.startswith("MULTIPOLYGON"), "").when(flat, "[")
     opening = missing.otherwise("[[")
-    document = F.concat(
-        F.lit('{"kind":"'), kind, F.lit('","parts":'),
-        opening, nested, F.translate(opening, "[", "]"), F.lit("}"),
-    )
-    return F.from_json(
-        F.when(start > 0, document), _GEOMETRY, {"allowNumericLeadingZeros": "true"}
-    )
+    filled = F.concat(opening, F.translate(pairs, "()", "[]"), F.translate(opening, "[", "]"))
+    return F.when(text.rlike(_EMPTY), "[]").when(start > 0, filled)
+
+
+_EMPTY = r"(?i)^\s*[A-Z]+(\s+(Z|M|ZM))?\s+EMPTY\s*$"
+_COLLECTION = r"(?is)^\s*GEOMETRYCOLLECTION(?:\s+(?:Z|M|ZM))?\s*\((.*)\)\s*$"
+
+
+def parse_wkt(text: Column | str) -> Column:
+    """Text of every simple, multiple and collected kind to nested coordinates.
+
+    The text becomes a JSON document for one native parse.  Ordinates after the second are
+    left out.  Text without parentheses, unless EMPTY, gives NULL, as does a collection within a
+    collection; text with malformed coordinates gives a geometry of NULL parts.
+    """
+    text = _col(text).cast("string")
+    members = F.split(F.regexp_extract(text, _COLLECTION, 1), r",\s*(?=[A-Za-z])")
+    # The members' own outer brackets go; empty members leave nothing.
+    inner = F.transform(members, lambda m: F.regexp_replace(_parts(m), r"^\[|\]$", ""))
+    collected = F.concat(F.lit("["), F.array_join(F.filter(inner, lambda m: m != ""), ","), F.lit("]"))
+    nested = F.regexp_extract(text, _COLLECTION, 1).rlike("(?i)GEOMETRYCOLLECTION")
+    parts = F.when(text.rlike(_COLLECTION), F.when(~nested, collected)).otherwise(_parts(text))
+    document = F.concat(F.lit('{"kind":"'), _kind(text), F.lit('","parts":'), parts, F.lit("}"))
+    return F.from_json(document, _GEOMETRY, {"allowNumericLeadingZeros": "true"})
 
 
 def first_point(geometry: Column | str) -> Column:

@@ -61,8 +61,11 @@ def transform_dft_lookup(raw: DataFrame, la_codes: Codes = None) -> DataFrame:
     An authority without a row in that year is not in the result.
     """
     require_columns(raw, ["local_authority_id", "local_authority_code", "year"])
-    names = {"local_authority_id": "dft_la_id", "local_authority_code": "ladcd"}
-    latest = rename_strict(latest_period(raw, "year").select(*names, "year"), names)
+    latest = latest_period(raw, "year").select(
+        F.col("local_authority_id").alias("dft_la_id"),
+        F.col("local_authority_code").alias("ladcd"),
+        "year",
+    )
     return latest if la_codes is None else in_codes(latest, "ladcd", la_codes)
 
 

@@ -86,6 +86,12 @@ class RunReport:
         """K7 over the written tables."""
         return table_counts(self.tables)
 
+    def raise_if_failed(self) -> RunReport:
+        """An error that lists the steps that were skipped, if any."""
+        if self.failed:
+            raise RuntimeError(f"steps failed: {self.failed}")
+        return self
+
     def run(self, step: str, on_error: str, action: Callable[[], DataFrame | None]) -> None:
         """One step under its policy: ``fail`` raises, ``skip`` records and goes on."""
         try:

@@ -68,6 +68,12 @@ class ViewReport:
     failed: list[tuple[str, str]] = field(default_factory=list)
     views: dict[str, DataFrame] = field(default_factory=dict)
 
+    def raise_if_failed(self) -> ViewReport:
+        """An error that lists the views that were not created, if any."""
+        if self.failed:
+            raise RuntimeError(f"views not created: {self.failed}")
+        return self
+
 
 def create_all_views(
     spark: SparkSession, tables: Frames, region: Region, skip_errors: bool = True

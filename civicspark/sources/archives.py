@@ -1,31 +1,33 @@
 """CSV members of landed ZIP archives (S15, S16), read by a Spark job.
 
 The driver sees paths only.  Each archive is opened by the task that reads it, as a
-stream, and its member leaves that task in bounded batches of text rows; types are cast
+stream, and its member leaves that task in bounded Arrow batches of text; types are cast
 by Spark afterwards.  An archive cannot be split, so many archives are the unit of
 parallelism; ``partitions`` spreads the rows once they are out.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import logging
 import posixpath
 import sys
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import PurePosixPath
 
-import pandas as pd
-from pyarrow import fs
+import pyarrow as pa
+from pyarrow import csv, fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicspark.operators.quality import cast_to_schema
 
 BATCH_ROWS = 20_000
+#: Bytes of a member parsed at a time.  A longer record fails the job; pass a larger block.
+BLOCK_BYTES = 32 << 20
+# Spark's names of a store that Arrow knows by another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
 
 
 def certificates_member(names: list[str]) -> str | None:
@@ -46,62 +48,104 @@ def only_csv_under_data(names: list[str]) -> str:
     return found[0]
 
 
+def arrow_uri(path: str) -> str:
+    """A Spark path as Arrow spells it: ``file:/x`` with an authority, stores by their Arrow names."""
+    scheme, colon, rest = path.partition(":")
+    if scheme == "file" and not rest.startswith("//"):
+        rest = "//" + rest
+    return _SCHEMES.get(scheme, scheme) + colon + rest
+
+
 def store_of(path: str) -> tuple[fs.FileSystem, str]:
-    """The store a Spark path names, and the path inside it.  Spark writes ``file:/x``."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path.removeprefix("file:")
-    return fs.FileSystem.from_uri(path)
+    """The store a Spark path names, and the path inside it.
+
+    ``hdfs`` needs Hadoop's native library on the workers, object stores their credentials
+    in the environment, as Arrow opens the file there.
+    """
+    return fs.FileSystem.from_uri(arrow_uri(path))
 
 
-def _member_rows(path: str, columns: list[str], choose: Callable) -> Iterator[list]:
-    """Rows of the chosen member as text, in the order of the wanted columns."""
+def _text_batches(
+    path: str, columns: list[str], choose: Callable, block_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """The chosen member as batches of text in the order of the wanted columns; empty is NULL."""
     store, inner = store_of(path)
     with store.open_input_file(inner) as stream, zipfile.ZipFile(stream) as archive:
         member = choose(archive.namelist())
-        if member is None:
-            logging.getLogger("civicspark").warning("No wanted member in %s", path)
+        if member is None or archive.getinfo(member).file_size == 0:
             return
         with archive.open(member) as raw:
-            records = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-            header = next(records, None)
-            if header is None:
-                return
-            absent = [c for c in columns if c not in header]
-            if absent:
-                raise ValueError(f"{path}: {member} lacks columns {absent}")
-            order = [header.index(c) for c in columns]
-            for record in records:
-                if not record:
-                    continue
-                if len(record) != len(header):
-                    raise ValueError(f"{path}: {len(record)} fields in line {records.line_num}")
-                yield [record[i] or None for i in order]
-
-
-def _archive_reader(columns: list[str], choose: Callable, batch_rows: int) -> Callable:
+            yield from csv.open_csv(
+                raw,
+                csv.ReadOptions(use_threads=False, block_size=block_bytes),
+                csv.ParseOptions(newlines_in_values=True),
+                csv.ConvertOptions(
+                    column_types=dict.fromkeys(columns, pa.string()), include_columns=columns,
+                    null_values=[""], strings_can_be_null=True,
+                ),
+            )
+
+
+def _archive_reader(
+    columns: list[str], choose: Callable, batch_rows: int, block_bytes: int
+) -> Callable:
     """The task function: paths in, batches of text rows out."""
 
-    def batch_of(stem: str, rows: list) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=columns, dtype="object")
-        out.insert(0, "source_file", stem)
-        return out
-
-    def read_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch["path"]:
+            for path in batch.column(0).to_pylist():
                 stem = posixpath.basename(path).rsplit(".", 1)[0]
-                rows = []
-                for row in _member_rows(path, columns, choose):
-                    rows.append(row)
-                    if len(rows) == batch_rows:
-                        yield batch_of(stem, rows)
-                        rows = []
-                if rows:
-                    yield batch_of(stem, rows)
+                for block in _text_batches(path, columns, choose, block_bytes):
+                    for start in range(0, len(block), batch_rows):
+                        rows = block.slice(start, batch_rows)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([stem] * len(rows), pa.string()), *rows.columns],
+                            names=["source_file", *columns],
+                        )
 
     return read_archives
 
 
+def _archives(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    return (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+    )
+
+
+def archive_members(
+    spark: SparkSession,
+    folder: str,
+    choose: Callable[[list[str]], str | None] = certificates_member,
+    glob: str = "*.zip",
+) -> DataFrame:
+    """Every archive with the member a read takes from it; NULL marks an archive it skips."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = []
+            for path in batch.column(0).to_pylist():
+                store, inner = store_of(path)
+                with store.open_input_file(inner) as stream, zipfile.ZipFile(stream) as archive:
+                    members.append(choose(archive.namelist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(members, pa.string())], names=["path", "member"]
+            )
+
+    return _archives(spark, folder, glob).mapInArrow(look, "path string, member string")
+
+
+def _cast_or_fail(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema; text that does not fit its type fails the job."""
+    columns = []
+    for f in schema.fields:
+        text = F.col(f"`{f.name}`")
+        value = text.try_cast(f.dataType)
+        message = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), text)
+        misfit = F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(f.dataType))
+        columns.append(misfit.otherwise(value).alias(f.name))
+    return df.select(columns)
+
+
 def read_zipped_csv(
     spark: SparkSession,
     folder: str,
@@ -110,27 +154,25 @@ def read_zipped_csv(
     glob: str = "*.zip",
     partitions: int | None = None,
     batch_rows: int = BATCH_ROWS,
+    strict: bool = False,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The chosen member of every archive, plus ``source_file`` (archive stem).
 
     A corrupt archive, a missing column or a ragged line fails the job; an archive for
-    which ``choose`` returns None is skipped with a warning.  Values that do not fit the
-    declared types become NULL.
+    which ``choose`` returns None is skipped, and ``archive_members`` lists it.  Values that
+    do not fit the declared types become NULL, or fail the job with ``strict``.
     """
     text_schema = T.StructType(
         [T.StructField("source_file", T.StringType())]
         + [T.StructField(f.name, T.StringType()) for f in schema.fields]
     )
-    archives = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
-    )
-    reader = _archive_reader(schema.fieldNames(), choose, batch_rows)
-    rows = archives.mapInPandas(reader, text_schema)
+    reader = _archive_reader(schema.fieldNames(), choose, batch_rows, block_bytes)
+    rows = _archives(spark, folder, glob).mapInArrow(reader, text_schema)
     if partitions:
         rows = rows.repartition(partitions)
     typed = T.StructType([text_schema["source_file"], *schema.fields])
-    return cast_to_schema(rows, typed)
-
+    return _cast_or_fail(rows, typed) if strict else cast_to_schema(rows, typed)
 
 
 # Workers get these functions with their code, so the package need not be installed there.

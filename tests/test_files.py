@@ -11,7 +11,9 @@ from pyspark.errors import PySparkException
 from civicspark.schemas import (
     DOMESTIC_CERTIFICATES, NON_DOMESTIC_CERTIFICATES, POSTCODES, certificate_schema, page_schema,
 )
-from civicspark.sources.archives import only_csv_under_data, read_zipped_csv
+from civicspark.sources.archives import (
+    archive_members, arrow_uri, only_csv_under_data, read_zipped_csv,
+)
 from civicspark.sources.files import (
     infer_csv_schema, read_certificate_pages, read_csv, read_csv_inferred, read_csv_lenient,
     read_features, read_geojson, read_landed_csv, read_postcodes,
@@ -242,3 +244,26 @@ def test_k5_upsert(spark):
     assert rows_of(merged) == sorted(want, key=repr)
     with pytest.raises(ValueError, match="Missing required"):
         upsert_by_key(base, updates.drop("v"), "LMK_KEY", ["lodged"])
+
+
+def test_s15_fields_of_any_length_strict_types_and_skipped_archives(spark, tmp_path):
+    long = "x" * 1_200_000
+    put_zip(tmp_path / "z/E01.zip", {"certificates.csv": f'LMK_KEY,POSTCODE\n"{long}",P\n'})
+    put_zip(tmp_path / "z/E02.zip", {"readme.txt": "nothing"})
+    got = read_zipped_csv(spark, str(tmp_path / "z"), small("LMK_KEY", "POSTCODE"), strict=True)
+    assert rows_of(got) == [("E01", long, "P")]
+    listed = archive_members(spark, str(tmp_path / "z"))
+    assert sorted((r.path.rsplit("/", 1)[1], r.member) for r in listed.collect()) == [
+        ("E01.zip", "certificates.csv"), ("E02.zip", None),
+    ]
+    put_zip(tmp_path / "y/E01.zip", {"certificates.csv": "LMK_KEY,CURRENT_ENERGY_EFFICIENCY\nk1,bad\n"})
+    schema = small("LMK_KEY", "CURRENT_ENERGY_EFFICIENCY")
+    assert rows_of(read_zipped_csv(spark, str(tmp_path / "y"), schema)) == [("E01", "k1", None)]
+    with pytest.raises(PySparkException, match="CURRENT_ENERGY_EFFICIENCY is no int: bad"):
+        read_zipped_csv(spark, str(tmp_path / "y"), schema, strict=True).collect()
+
+
+def test_s15_stores_are_named_as_arrow_names_them():
+    assert arrow_uri("file:/a/b.zip") == "file:///a/b.zip"
+    assert arrow_uri("s3a://bucket/a.zip") == "s3://bucket/a.zip"
+    assert arrow_uri("hdfs://host:8020/a.zip") == "hdfs://host:8020/a.zip"

@@ -93,6 +93,15 @@ def test_c9_c11_points(spark):
     ("POINT Z (1 2 3)", "POINT Z", [[[(1.0, 2.0)]]]),
     ("POINT (.5 -.25)", "POINT", [[[(0.5, -0.25)]]]),
     ("POINT (+1. 002.)", "POINT", [[[(1.0, 2.0)]]]),
+    ("MULTIPOINT (1 2, 3 4)", "MULTIPOINT", [[[(1.0, 2.0), (3.0, 4.0)]]]),
+    ("MULTIPOINT ((1 2), (3 4))", "MULTIPOINT", [[[(1.0, 2.0), (3.0, 4.0)]]]),
+    ("MULTILINESTRING ((0 0, 1 1), (2 2, 3 3))", "MULTILINESTRING",
+     [[[(0.0, 0.0), (1.0, 1.0)], [(2.0, 2.0), (3.0, 3.0)]]]),
+    ("POINT EMPTY", "POINT", []),
+    ("multipolygon z empty", "MULTIPOLYGON Z", []),
+    ("GEOMETRYCOLLECTION (POINT (1 2), POINT EMPTY, POLYGON ((0 0, 1 1, 0 0)))", "GEOMETRYCOLLECTION",
+     [[[(1.0, 2.0)]], [[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]]),
+    ("GEOMETRYCOLLECTION EMPTY", "GEOMETRYCOLLECTION", []),
 ])
 def test_c10_wkt(spark, text, kind, parts):
     geom = spark.createDataFrame([(text,)], "t string").select(parse_wkt("t").alias("g")).first()["g"]
