@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from civicspark.checks.registry import check, derive, table
 from civicspark.functions.names import apply_names, hyphen_lower
 from civicspark.operators.filters import in_codes
+from civicspark.plans.emissions import tenure_wide
 from civicspark.schemas import DOMESTIC_CERTIFICATES
 from civicspark.session import scratch_path
 from civicspark.sources.archives import only_csv_under_data, read_zipped_csv, store_of
@@ -69,12 +70,53 @@ def csv_lenient(spark, sf_dir):
 
 @check("landed_csv_sample", "SELECT least(count(*), 1000) AS n_rows FROM {lineitem}")
 def landed_csv_sample(spark, sf_dir):
-    """The row limit of a sample run (any rows, so their number is checked)."""
+    """O1: the row limit of a sample run (any rows, so their number is checked)."""
     path = scratch_path(spark, "landed-csv")
     export_csv(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), path)
     return read_landed_csv(spark, path, 1000, multi_line=False).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_LANDED = """SELECT 'A' || cast(o_custkey % 25 AS string) AS local_authority_code,
+    cast(year(o_orderdate) AS int) AS year, o_orderkey AS count_point_id,
+    o_orderpriority AS direction_of_travel, o_totalprice AS all_motor_vehicles FROM {orders}"""
+
+
+@check("landed_csv", _LANDED)
+def landed_csv(spark, sf_dir):
+    """A landed source with inferred types, every row and value, no limit."""
+    path = scratch_path(spark, "landed-csv")
+    export_csv(derive(spark, sf_dir, _LANDED), path)
+    landed = read_landed_csv(spark, path, multi_line=False)
+    return landed.withColumn("count_point_id", F.col("count_point_id").cast("bigint"))
+
+
+_TENURE_LONG = """SELECT 'Area ' || cast(l_orderkey AS string) AS GEOGRAPHY_NAME,
+    'L' || cast(l_orderkey AS string) AS GEOGRAPHY_CODE,
+    CASE l_linenumber WHEN 1 THEN 'Total: All households' WHEN 2 THEN 'Owned' ELSE 'Social rented' END
+        AS C2021_TENURE_9_NAME,
+    l_linenumber AS C2021_TENURE_9_SORTORDER, cast(sum(l_quantity) AS bigint) AS OBS_VALUE
+FROM {lineitem} WHERE l_linenumber <= 3 GROUP BY l_orderkey, l_linenumber"""
+
+
+@check("landed_tenure", f"""
+SELECT GEOGRAPHY_NAME AS lsoa_name, GEOGRAPHY_CODE AS lsoa21cd,
+    max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = 1) AS total_all_households,
+    max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = 2) AS owned,
+    max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = 3) AS social_rented
+FROM ({_TENURE_LONG}) GROUP BY 1, 2
+""")
+def landed_tenure(spark, sf_dir):
+    """A landed census table, long form, to one row per area."""
+    path = scratch_path(spark, "tenure-csv")
+    export_csv(derive(spark, sf_dir, _TENURE_LONG), path)
+    wide = tenure_wide(
+        read_landed_csv(spark, path, multi_line=False),
+        ["Total: All households", "Owned", "Social rented"],
+    )
+    counts = ("total_all_households", "owned", "social_rented")
+    return wide.select("lsoa_name", "lsoa21cd", *[F.col(c).cast("bigint").alias(c) for c in counts])
+
+
 @check("parquet_round_trip", "SELECT l_orderkey, l_quantity, l_shipdate FROM {lineitem} WHERE l_returnflag = 'R'")
 def parquet_round_trip(spark, sf_dir):
     """A replaced table; the filter prunes its partitions."""
@@ -178,9 +220,9 @@ _CERTIFICATES = """SELECT 'K' || cast(o_orderkey AS string) AS LMK_KEY,
 FROM {orders}"""
 
 
-def _certificate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _certificate_rows(spark: SparkSession, sf_dir: str, sql: str = _CERTIFICATES) -> DataFrame:
     """All 93 columns; those the derived rows do not have are NULL."""
-    rows = derive(spark, sf_dir, _CERTIFICATES)
+    rows = derive(spark, sf_dir, sql)
     return rows.select([
         F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in DOMESTIC_CERTIFICATES.fields
@@ -193,10 +235,13 @@ WHERE LOCAL_AUTHORITY = 'A4'
     AND year(LODGEMENT_DATE) * 12 + month(LODGEMENT_DATE) BETWEEN 1997 * 12 + 3 AND 1999 * 12 + 1
 """, doubles=["TOTAL_FLOOR_AREA"], texts=["LODGEMENT_DATE"])
 def certificate_pages(spark, sf_dir):
-    """Landed pages, each with its header, by authority and month range."""
+    """Landed pages, each with its header, by authority and month range; a listed
+    path that does not exist takes nothing from the others, and files are split."""
     path = scratch_path(spark, "pages")
     export_csv(apply_names(_certificate_rows(spark, sf_dir), hyphen_lower), path)
-    pages = read_certificate_pages(spark, path, "domestic", "A4", (1997, 3), (1999, 1))
+    pages = read_certificate_pages(
+        spark, [path, path + "-absent"], "domestic", "A4", (1997, 3), (1999, 1), multi_line=False
+    )
     return apply_names(pages, lambda n: n.upper().replace("-", "_")).select(
         "LMK_KEY", "LOCAL_AUTHORITY", "ADDRESS1", "LODGEMENT_DATE", "TOTAL_FLOOR_AREA"
     )
@@ -239,7 +284,7 @@ def zipped_csv(spark, sf_dir):
     folder = scratch_path(spark, "zips")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     _land_archives(documents, "certificates.csv", "doc_id", folder)
-    return read_zipped_csv(spark, folder, documents.schema).drop("source_file")
+    return read_zipped_csv(spark, folder, documents.schema, strict=True).drop("source_file")
 
 
 @check("zipped_data_folder", """

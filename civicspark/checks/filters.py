@@ -180,3 +180,12 @@ def preview_size(spark, sf_dir):
     return preview(table(spark, sf_dir, "orders"), ["o_orderkey"], 500).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
+
+
+@check("preview_rows", """
+SELECT p_partkey, p_name FROM {part} ORDER BY p_retailprice DESC, p_partkey LIMIT 500
+""")
+def preview_rows(spark, sf_dir):
+    """O3, O2: a preview of an ordered frame, its rows and columns by value."""
+    ordered = table(spark, sf_dir, "part").orderBy(F.desc("p_retailprice"), "p_partkey")
+    return preview(ordered, ["p_partkey", "p_name"], 500)

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 from civicspark.checks.registry import check, derive, table
 from civicspark.operators.quality import (
     cast_to_schema, count_rows_of, distinct_by_key, distinct_rows, duplicate_keys,
-    parse_date_if_text, require_columns,
+    parse_date_if_text, require_columns, warn_if_empty,
 )
 from civicspark.operators.sets import union_all
+from civicspark.session import scratch_path
 
 
 @check("row_distinct", "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM {lineitem}")
@@ -96,3 +97,20 @@ def observed_filter(spark, sf_dir):
     require_columns(orders, ["o_orderkey", "o_orderstatus"])
     partial, _ = count_rows_of(orders.where("o_orderstatus = 'P'"), "partial_orders")
     return partial.select("o_orderkey")
+
+
+@check("observed_counts", """
+SELECT o_orderstatus AS status, count(*) AS n_rows FROM {orders}
+WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY o_orderstatus
+UNION ALL SELECT 'none', 0
+""")
+def observed_counts(spark, sf_dir):
+    """The counts that ride along with a write, and the warning of an empty frame."""
+    orders = table(spark, sf_dir, "orders")
+    counted = []
+    for status in ("F", "O", "P", "none"):
+        rows, seen = count_rows_of(orders.where(F.col("o_orderstatus") == status), f"orders_{status}")
+        rows.select("o_orderkey").write.parquet(scratch_path(spark, "observed"))
+        counted.append((status, warn_if_empty(seen, f"no orders of status {status}")))
+    present = [c for c in counted if c[1] or c[0] == "none"]
+    return spark.createDataFrame(present, "status string, n_rows bigint")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicspark.checks import inputs
-from civicspark.checks.files import _land_documents
+from civicspark.checks.files import _CERTIFICATES, _certificate_rows, _land_documents
 from civicspark.checks.registry import check, derive, table
-from civicspark.plans.certificates import certificate_updates
+from civicspark.functions.names import apply_names, hyphen_lower
+from civicspark.plans.certificates import certificate_updates, refresh_certificates
 from civicspark.plans.etl import build_tables, extract_all, run_full_etl
 from civicspark.plans.views import Region
 from civicspark.session import scratch_path
@@ -60,6 +61,35 @@ def stream_refresh(spark, sf_dir):
     return result
 
 
+_REFRESHED_BASE = f"SELECT * FROM ({_CERTIFICATES}) WHERE LODGEMENT_DATE < date '1999-01-15'"
+# Every tenth certificate was lodged again two years later.
+_REFRESHED_PAGES = """SELECT 'K' || cast(o_orderkey AS string) AS LMK_KEY,
+    'A' || cast(o_custkey % 25 AS string) AS LOCAL_AUTHORITY, 'new' AS ADDRESS1,
+    cast(CASE WHEN o_orderkey % 10 = 0 THEN o_orderdate + INTERVAL 24 MONTH ELSE o_orderdate END AS date)
+        AS LODGEMENT_DATE, cast(o_totalprice AS decimal(10,2)) AS TOTAL_FLOOR_AREA
+FROM {orders}"""
+
+
+@check("refreshed_certificates", f"""
+WITH base AS ({_REFRESHED_BASE}),
+pages AS (SELECT * FROM ({_REFRESHED_PAGES}) WHERE LODGEMENT_DATE < date '2000-07-01' AND LODGEMENT_DATE
+    >= (SELECT date_trunc('month', max(LODGEMENT_DATE)) + INTERVAL 1 MONTH FROM base)
+    AND LOCAL_AUTHORITY IN ('A3', 'A4', 'A5'))
+SELECT * FROM base WHERE LMK_KEY NOT IN (SELECT LMK_KEY FROM pages) UNION ALL SELECT * FROM pages
+""", doubles=["TOTAL_FLOOR_AREA"], texts=["LODGEMENT_DATE"])
+def refreshed_certificates(spark, sf_dir):
+    """Pages from the month after the table's latest, upserted into a new path."""
+    landed = scratch_path(spark, "pages")
+    export_csv(apply_names(_certificate_rows(spark, sf_dir, _REFRESHED_PAGES), hyphen_lower), landed)
+    table_now = refresh_certificates(
+        spark, _certificate_rows(spark, sf_dir, _REFRESHED_BASE), landed,
+        scratch_path(spark, "refreshed"), la_codes=["A3", "A4", "A5"], to_period=(2000, 6),
+    )
+    return table_now.select(
+        "LMK_KEY", "LOCAL_AUTHORITY", "ADDRESS1", "LODGEMENT_DATE", "TOTAL_FLOOR_AREA"
+    )
+
+
 def _land_sources(spark, sf_dir) -> str:
     """Landed files of an end-to-end run, derived from the test tables."""
     root = scratch_path(spark, "landing")

@@ -8,6 +8,7 @@ from civicspark.checks import inputs
 from civicspark.checks.registry import check, derive, table
 from civicspark.checks.scalars import _CATEGORY, _EPOCH, _YEAR
 from civicspark.functions.names import apply_names, hyphen_lower
+from civicspark.operators.sets import table_counts
 from civicspark.plans.certificates import (
     DOMESTIC_LAYOUT, NON_DOMESTIC_LAYOUT, domestic_enriched_view, domestic_publication_view,
     domestic_region_view, non_domestic_publication_view, non_domestic_view,
@@ -21,7 +22,7 @@ from civicspark.plans.geography import (
     add_geometry_column, consolidate_lookups, get_ca_la_codes, region_codes, simple_geography_view,
     small_area_codes, transform_ca_la_lookup, transform_lsoa_pwc,
 )
-from civicspark.plans.views import Region, create_all_views
+from civicspark.plans.views import VIEWS, Region, create_all_views
 from civicspark.schemas import NON_DOMESTIC_CERTIFICATES
 
 REGION = "EUROPE"
@@ -231,6 +232,29 @@ def registry_view(spark, sf_dir):
     )
 
 
+@check("registry_report", f"""
+{_with(emissions=inputs.SUBSECTORS, lookup=inputs.LOOKUP)}
+SELECT name, name = 'ca_la_ghg_emissions_sub_sector_ods_vw' AS created,
+    CASE WHEN name = 'ca_la_ghg_emissions_sub_sector_ods_vw' THEN (SELECT count(*)
+        FROM emissions JOIN lookup ON local_authority_code = ladcd) ELSE 0 END AS n_rows
+FROM (VALUES {', '.join(f"('{name}')" for name in VIEWS)}) AS v(name)
+""")
+def registry_report(spark, sf_dir):
+    """Which views the given tables allow, which not, and the rows of those created."""
+    tables = {
+        "ghg_emissions": derive(spark, sf_dir, inputs.SUBSECTORS),
+        "ca_la": derive(spark, sf_dir, inputs.LOOKUP),
+    }
+    report = create_all_views(spark, tables, Region(REGION))
+    counts = table_counts(report.views).select(
+        F.col("table_name").alias("name"), F.lit(True).alias("created"), "n_rows"
+    )
+    failed = [(name, False, 0) for name, _ in report.failed]
+    return counts.unionByName(
+        spark.createDataFrame(failed, "name string, created boolean, n_rows bigint")
+    )
+
+
 _AUTHORITIES = """SELECT 'A' || cast(s_suppkey AS string) AS ladcd, s_name AS ladnm,
     'C' || cast(s_nationkey AS string) AS cauthcd, 'Area ' || cast(s_nationkey AS string) AS cauthnm
 FROM {supplier}"""

@@ -30,12 +30,19 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+# Codes, ids, years, deciles and names of the columns, as FIXTURES.md lists them.
+LA_CODES = ("E06000023", "E06000024", "E06000025")
+DFT_IDS = (801, 802, 803)
+LSOA_CODES = ("E01014533", "E01014534", "E01014535", "E01014536")
+DECILES = (5, 6, 4, 8)
+# Everything below is made up.
+
+
 @pytest.fixture
 def traffic(spark):
     rows = [
-        (801, "E06000023", "One", 2022, 101, "N", 10000), (802, "E06000024", "Two", 2022, 102, "S", 12000),
-        (803, "E06000025", "Three", 2022, 103, "E", 15000), (801, "E06000023", "One", 2023, 101, "N", 10500),
-        (802, "E06000024", "Two", 2023, 102, "S", 12500), (803, "E06000025", "Three", 2023, 103, "E", 15500),
+        (dft_id, code, f"Place {dft_id}", year, 7 * dft_id, "NW", year + dft_id)
+        for year in (2022, 2023) for dft_id, code in zip(DFT_IDS, LA_CODES, strict=True)
     ]
     return spark.createDataFrame(rows, (
         "local_authority_id bigint, local_authority_code string, local_authority_name string, "
@@ -45,10 +52,7 @@ def traffic(spark):
 
 @pytest.fixture
 def emissions(spark):
-    rows = [
-        ("E06000023", "One", 2021, 1500.5, "Total"), ("E06000024", "Two", 2021, 800.3, "Total"),
-        ("E06000025", "Three", 2021, 900.7, "Total"), ("E06000026", "Four", 2021, 750.2, "Total"),
-    ]
+    rows = [(code, f"Place {code}", 2019, 0.5 * n, "all") for n, code in enumerate((*LA_CODES, "E06000099"))]
     return spark.createDataFrame(
         rows, "`LA Code` string, `Local Authority` string, Year bigint, CO2_kt double, Sector string"
     )
@@ -57,8 +61,8 @@ def emissions(spark):
 @pytest.fixture
 def deprivation(spark):
     rows = [
-        ("E01014533", "001A", 25.5, 15000, 5), ("E01014534", "001B", 18.3, 20000, 6),
-        ("E01014535", "002A", 32.1, 10000, 4), ("E01014536", "002B", 12.8, 25000, 8),
+        (code, f"Area {n}", 0.25 * n, 11 * n + 1, decile)
+        for n, (code, decile) in enumerate(zip(LSOA_CODES, DECILES, strict=True))
     ]
     return spark.createDataFrame(
         rows, "lsoa21_code string, lsoa21_name string, imd_score double, imd_rank bigint, imd_decile bigint"
@@ -88,10 +92,10 @@ def lookup(spark):
 
 @pytest.fixture
 def raw_centroids(spark):
+    places = ((-2.5879, 51.125), (0.5, 50.25), (1.75, 52.0))  # the first longitude is looked for
     rows = [
-        ("E01014533", "001A", -2.5879, 51.4545, "POINT (-2.5879 51.4545)"),
-        ("E01014534", "001B", -2.5895, 51.4560, "POINT (-2.5895 51.4560)"),
-        ("E01014535", "002A", -2.5920, 51.4580, "POINT (-2.5920 51.4580)"),
+        (code, f"Area {n}", x, y, f"POINT ({x} {y})")
+        for n, (code, (x, y)) in enumerate(zip(LSOA_CODES, places, strict=False))
     ]
     return spark.createDataFrame(rows, "LSOA21CD string, LSOA21NM string, X double, Y double, GEOMETRY string")
 
