@@ -234,6 +234,16 @@ def clean_column_names(spark, sf_dir):
     return shouted.withColumnsRenamed(get_rename_dict(shouted))
 
 
+@check("clashing_names", """
+SELECT p_partkey AS value_1, p_size AS value_2, p_retailprice AS value, p_name AS size FROM {part}
+""")
+def clashing_names(spark, sf_dir):
+    """Names that become alike are numbered, the last keeps the bare name."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", "p_name")
+    clashing = parts.toDF("Value", "VALUE", "value", "Size")
+    return clashing.toDF(*get_rename_dict(clashing).values())
+
+
 @check("unnest_structs", """
 SELECT c_custkey, c_name AS name, c_acctbal AS x, cast(c_nationkey AS double) AS y FROM {customer}
 """)

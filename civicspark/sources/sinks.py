@@ -68,7 +68,10 @@ def upsert_by_key(
     last_first = [_descending(o) for o in order]
     winners = distinct_by_key(updates.where(has_key), keys, last_first)
     keyless = updates.where(~has_key)
-    replaced = winners.select([quoted(k).alias(f"__replaced_{i}") for i, k in enumerate(keys)])
+    # The keys alone, not the winners: an anti join needs no distinct right side.
+    replaced = updates.where(has_key).select(
+        [quoted(k).alias(f"__replaced_{i}") for i, k in enumerate(keys)]
+    )
     condition = [quoted(k) == F.col(f"__replaced_{i}") for i, k in enumerate(keys)]
     untouched = base.join(replaced, condition, "left_anti")
     columns = [ticked(c) for c in base.columns]
