@@ -41,31 +41,32 @@ _SPELLINGS = {":+": ":", ":.": ":0.", ":-.": ":-0.", ".,": ".0,", ".}": ".0}"}
 _PAIR = r"([^\s,()]+)\s+([^\s,()]+)(?:\s+[^\s,()]+)*"
 
 
-def _kind(text: Column) -> Column:
-    return F.upper(F.trim(F.regexp_replace(F.substring_index(text, "(", 1), r"(?i)\s+EMPTY\s*$", "")))
+_EMPTY = r"(?i)^[A-Z]+(\s+(Z|M|ZM))?\s+EMPTY$"
+
+
+def _head(text: Column) -> Column:
+    """What stands before the first parenthesis; all of the text where there is none."""
+    return F.upper(F.trim(F.substring_index(text, "(", 1)))
 
 
 def _parts(text: Column) -> Column:
     """The parts of one geometry as JSON: pairs to objects, parentheses to brackets."""
-    start = F.instr(text, "(")
-    kind = _kind(text)
+    kind, start = _head(text), F.instr(text, "(")
     body = text.substr(start, F.length(text))
     # Each point of a MULTIPOINT may stand in parentheses of its own.
-    body = F.when(
-        kind.startswith("MULTIPOINT"), F.concat(F.lit("("), F.translate(body, "()", ""), F.lit(")"))
-    ).otherwise(body)
+    bare = F.concat(F.lit("("), F.translate(body, "()", ""), F.lit(")"))
+    body = F.when(kind.startswith("MULTIPOINT"), bare).otherwise(body)
     pairs = F.regexp_replace(body, _PAIR, '{"x":$1,"y":$2}')
     for spelling, plain in _SPELLINGS.items():
         pairs = F.replace(pairs, F.lit(spelling), F.lit(plain))
-    flat = kind.startswith("POLYGON") | kind.startswith("MULTILINESTRING")
-    missing = F.when(kind.startswith("MULTIPOLYGON"), "").when(flat, "[")
-    opening = missing.otherwise("[[")
-    filled = F.concat(opening, F.translate(pairs, "()", "[]"), F.translate(opening, "[", "]"))
-    return F.when(text.rlike(_EMPTY), "[]").when(start > 0, filled)
-
-
-_EMPTY = r"(?i)^\s*[A-Z]+(\s+(Z|M|ZM))?\s+EMPTY\s*$"
-_COLLECTION = r"(?is)^\s*GEOMETRYCOLLECTION(?:\s+(?:Z|M|ZM))?\s*\((.*)\)\s*$"
+    nested = F.translate(pairs, "()", "[]")
+    wrapped = (
+        F.when(kind.startswith("MULTIPOLYGON"), nested)
+        .when(kind.startswith("POLYGON") | kind.startswith("MULTILINESTRING"),
+              F.concat(F.lit("["), nested, F.lit("]")))
+        .otherwise(F.concat(F.lit("[["), nested, F.lit("]]")))
+    )
+    return F.when(start > 0, wrapped).when(kind.rlike(_EMPTY), "[]")
 
 
 def parse_wkt(text: Column | str) -> Column:
@@ -76,13 +77,18 @@ def parse_wkt(text: Column | str) -> Column:
     collection; text with malformed coordinates gives a geometry of NULL parts.
     """
     text = _col(text).cast("string")
-    members = F.split(F.regexp_extract(text, _COLLECTION, 1), r",\s*(?=[A-Za-z])")
+    head = _head(text)
+    collection = head.startswith("GEOMETRYCOLLECTION") & text.contains("(")
+    listed = F.regexp_extract(text, r"(?s)^[^(]*\((.*)\)\s*$", 1)
     # The members' own outer brackets go; empty members leave nothing.
-    inner = F.transform(members, lambda m: F.regexp_replace(_parts(m), r"^\[|\]$", ""))
+    inner = F.transform(
+        F.split(listed, r",\s*(?=[A-Za-z])"), lambda m: F.regexp_replace(_parts(m), r"^\[|\]$", "")
+    )
     collected = F.concat(F.lit("["), F.array_join(F.filter(inner, lambda m: m != ""), ","), F.lit("]"))
-    nested = F.regexp_extract(text, _COLLECTION, 1).rlike("(?i)GEOMETRYCOLLECTION")
-    parts = F.when(text.rlike(_COLLECTION), F.when(~nested, collected)).otherwise(_parts(text))
-    document = F.concat(F.lit('{"kind":"'), _kind(text), F.lit('","parts":'), parts, F.lit("}"))
+    members = F.when(~F.upper(listed).contains("GEOMETRYCOLLECTION"), collected)
+    parts = F.when(collection, members).otherwise(_parts(text))
+    kind = F.when(text.contains("("), head).otherwise(F.regexp_replace(head, r"\s+EMPTY$", ""))
+    document = F.concat(F.lit('{"kind":"'), kind, F.lit('","parts":'), parts, F.lit("}"))
     return F.from_json(document, _GEOMETRY, {"allowNumericLeadingZeros": "true"})
 
 
