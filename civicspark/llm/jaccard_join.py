@@ -18,10 +18,17 @@ Frequencies only steer costs: any choice finds all pairs.
 
 Signatures are dealt out and sorted by hash.  A signature's smallest searching set leads it,
 and each set is first compared with the leader it meets most often, which settles large groups
-in as many comparisons as they have members; pairs of one signature that are not in one
-component by then are compared one by one.  Sketches, parities of hashed members that differ
-in no more bits than the sets in members, spare texts that cannot be linked; every other pair
-is compared exactly, on the sets of the whole texts (64-bit hashes of shingles).
+in as many comparisons as they have members.  Signatures whose sets are not in one component
+by then are compared by tiles: the sets of a signature, cut into parts of about ``TILE``, meet
+part by part as matrices of short sketches.  A sketch holds the parities of hashed members, and
+two of them differ in no more bits than the sets in members, so pairs that differ in more bits
+than the threshold allows are never written.  Work inside a signature grows with the square of
+its different texts, its rows with that square over ``TILE``.  Pairs left over meet their full
+sketches and then, exactly, the sets of the whole texts (64-bit hashes of shingles).
+
+A pair may share many signatures.  Each set keeps, for some hash functions, the least hash of
+the signatures it searches by; the first function in which two sets agree names a signature
+that both have, and only there is the pair written.
 
 Texts with equal sets form a class and are represented by its smallest id.  A text without
 words, or null, links with nothing.  Rows of one id are one document; a row without an id links
@@ -39,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.graph import connected_components
-from civicspark.llm.shingles import Hasher, fingerprint, mixed, sketch, sketch_distance
+from civicspark.llm.shingles import SHORT, Hasher, fingerprint, mixed, short_sketch, sketch, sketch_distance
 from civicspark.llm.support import join_small, pinned, ship
 
 #: Extra segments as a share of H + 1; segments with one-deletion neighbours; partitions for
@@ -47,6 +54,9 @@ from civicspark.llm.support import join_small, pinned, ship
 SPARE, DELETED, PARTITIONS, KNOWN, FREQUENT, CHUNK = 0.15, 4, 6, 100_000, 8, 2_000_000
 #: Ids or pairs that may be copied to the executors; beyond it both sides are shuffled.
 COPIED = 1_000_000
+#: Sets of a signature that meet as one matrix; up to ``FEW`` meet in step with those of other
+#: signatures; hash functions by which a pair finds the one signature it is written at.
+TILE, FEW, LEAST = 1024, 24, 6
 
 _EMPTY_COST = float("inf")
 
@@ -154,10 +164,10 @@ def signatures(members: np.ndarray, bands: Bands, hot: np.ndarray, counts: np.nd
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds.  kind 0: id, set size n, fingerprint (a, b) and sketch.  kind 1: a
+    """Rows of two kinds.  kind 0: id, set size n, fingerprint (a, b), sketch and short sketch.  kind 1: a
     frequent shingle (a) with its number of sets (b) in one chunk; equal sets of a chunk count once."""
     ship(docs.sparkSession)
-    names = ["kind", "id", "n", "a", "b", "sketch"]
+    names = ["kind", "id", "n", "a", "b", "sketch", "short"]
 
     def run(batches):
         hasher = Hasher()
@@ -168,14 +178,15 @@ def describe(docs: DataFrame) -> DataFrame:
             often = n >= FREQUENT
             values, n = values[often].view(np.int64), n[often]
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()), pa.array(values), pa.array(n), pa.nulls(len(values), pa.binary())],
+                [pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()), pa.array(values), pa.array(n), pa.nulls(len(values), pa.binary()), pa.nulls(len(values), pa.binary())],
                 names=names)
 
         for batch in batches:
-            sizes, prints, sketches = [], [], []
+            sizes, prints, sketches, shorts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 members = hasher.members(text)
                 sketches.append(sketch(members))
+                shorts.append(short_sketch(members))
                 print_ = fingerprint(members)
                 sizes.append(len(members))
                 prints.append(print_)
@@ -188,12 +199,12 @@ def describe(docs: DataFrame) -> DataFrame:
                         held, seen, n_held = [], set(), 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(sizes), np.int32)), batch.column(0), pa.array(sizes, pa.int64()),
-                 pa.array([a for a, _ in prints], pa.int64()), pa.array([b for _, b in prints], pa.int64()), pa.array(sketches, pa.binary())],
+                 pa.array([a for a, _ in prints], pa.int64()), pa.array([b for _, b in prints], pa.int64()), pa.array(sketches, pa.binary()), pa.array(shorts, pa.binary())],
                 names=names)
         if held:
             yield frequent()
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "kind int, id bigint, n bigint, a bigint, b bigint, sketch binary")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "kind int, id bigint, n bigint, a bigint, b bigint, sketch binary, short binary")
     return pinned(rows, "shingle-sets")
 
 
@@ -293,6 +304,110 @@ def plausible(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> Dat
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def compared(unit, left, ids, n, component, searches, least, hashed, sketches, threshold: Fraction):
+    """Pairs of positions of one unit each that may be linked, as two arrays.
+
+    Rows of a unit stand together.  ``left`` is 0 for a unit whose rows all meet, else it names
+    the side, 1 or 2, and rows of different sides meet.
+    """
+    top, bottom = threshold.numerator, threshold.denominator
+    starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    ends = np.r_[starts[1:], len(unit)]
+    found = []
+
+    def keep(x, y, distance):
+        """Of pairs x, y: near enough by sketch and size, in two components, and written here."""
+        m, k = n[x], n[y]
+        good = ((bottom + top) * distance <= (bottom - top) * (m + k)) & (m * bottom >= k * top) & (k * bottom >= m * top)
+        good &= (component[x] != component[y]) & (searches[x] | searches[y]) & (ids[x] != ids[y]) & ((left[x] == 0) | (left[x] != left[y]))
+        x, y = x[good], y[good]
+        agree = least[x] == least[y]
+        first = agree.argmax(axis=1)
+        at = np.arange(len(x))
+        here = ~agree[at, first] | (hashed[x, first] == least[x, first])
+        found.append((x[here], y[here]))
+
+    few = np.flatnonzero((ends - starts > 1) & (ends - starts <= FEW))
+    last = np.repeat(ends[few], (ends - starts)[few])  # of the unit of each row below
+    rows = np.concatenate([np.arange(starts[k], ends[k]) for k in few]) if len(few) else np.empty(0, np.int64)
+    for step in range(1, FEW):
+        within = rows + step < last
+        rows, last = rows[within], last[within]
+        if not len(rows):
+            break
+        x = rows[component[rows] != component[rows + step]]
+        keep(x, x + step, np.bitwise_count(sketches[x] ^ sketches[x + step]).sum(axis=1, dtype=np.int64))
+    for k in np.flatnonzero(ends - starts > FEW):
+        here = np.arange(starts[k], ends[k])
+        if left[here[0]]:
+            one, two = here[left[here] == 1], here[left[here] == 2]
+        else:
+            one = two = here
+        words = np.ascontiguousarray(sketches[two].T)
+        for at in range(0, len(one), 256):
+            block = one[at : at + 256]
+            distance = np.zeros((len(block), len(two)), np.uint16)
+            for w in range(sketches.shape[1]):
+                distance += np.bitwise_count(sketches[block, w][:, None] ^ words[w][None, :])
+            most = (bottom - top) * (n[block][:, None] + n[two][None, :]) // (bottom + top)
+            i, j = np.nonzero(distance <= most)
+            if one is two:
+                i, j = i[block[i] < two[j]], j[block[i] < two[j]]
+            keep(block[i], two[j], distance[i, j].astype(np.int64))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+
+def open_pairs(rows: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b), a < b, of sets of one signature and two components that short sketches leave.
+
+    ``rows`` has key, id, searches, component and, for each key, its number of sets.
+    """
+    hashes = [F.xxhash64("key", F.lit(j)) for j in range(LEAST)]
+    least = rows.where("searches").groupBy("id").agg(*[F.min(h).alias(f"m{j}") for j, h in enumerate(hashes)])
+    # A set that searches nothing here agrees with no other, so its pairs are written at each signature.
+    known = sketches.select("id", "n", "short").join(least, "id", "left").withColumn(
+        "least", F.array(*[F.coalesce(f"m{j}", F.xxhash64("id", F.lit(-1 - j))) for j in range(LEAST)])).drop(*[f"m{j}" for j in range(LEAST)])
+    rows = rows.join(known, "id")
+    whole = rows.where(F.col("sets") <= TILE).withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("side", F.lit(0))
+    parts = F.ceil(F.col("sets") / TILE).cast("int")
+    cut = (
+        rows.where(F.col("sets") > TILE).withColumn("part", F.pmod(F.hash("id"), parts))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+        .withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("part") == F.col("i"), 1).otherwise(2)).drop("part", "other"))
+    dealt = whole.unionByName(cut).select("key", "i", "j", "side", "id", "n", "component", "searches", "least", F.array(*hashes).alias("hashed"), "short")
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def pairs_of(table):
+        key, i, j, side, ids, n, component = (table.column(k).to_numpy() for k in range(7))
+        searches = table.column(7).to_numpy(zero_copy_only=False)
+        least, hashed = (np.array(table.column(k).combine_chunks().flatten().to_numpy()).reshape(-1, LEAST) for k in (8, 9))
+        bits = np.frombuffer(b"".join(table.column(10).to_pylist()), np.uint64).reshape(-1, SHORT // 64)
+        changed = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        x, y = compared(np.cumsum(np.r_[False, changed]), side, ids, n, component, searches, least, hashed, bits, threshold)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y]))], names=["a", "b"])
+
+    def run(batches):
+        held = None  # rows of the unit that the last batch ended in
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            if not table.num_rows:
+                continue
+            key, i, j = (table.column(k).to_numpy() for k in range(3))
+            rest = int(np.flatnonzero((key == key[-1]) & (i == i[-1]) & (j == j[-1]))[0])
+            held = table.slice(rest)
+            if rest:
+                yield pairs_of(table.slice(0, rest))
+        if held is not None:
+            yield pairs_of(held)
+
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold: by sketches first, then by the sets."""
     pairs = pinned(plausible(pairs, sketches, threshold), "plausible-pairs")
@@ -339,7 +454,7 @@ def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
 
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     sketches = pinned(described.where("kind = 0 AND id IS NOT NULL AND n > 0").groupBy("id").agg(
-        F.max_by(F.struct("n", "sketch"), "n").alias("s")).select("id", "s.*"), "sketches")
+        F.max_by(F.struct("n", "sketch", "short"), "n").alias("s")).select("id", "s.*"), "sketches")
     # Each set is compared with the leader it meets most often.
     met = hits.where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("times"))
     best = met.groupBy("id").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("m"))
@@ -351,16 +466,10 @@ def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
     # Signatures whose sets are in one component by now have nothing left to find.
     n_settled = settled.count()
     placed = join_small(hits.drop("leader"), settled, ["id"], "left", n_settled).withColumn("component", F.coalesce("component_id", "id")).drop("component_id")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    left = pinned(placed.join(mixed_keys, "key").join(sketches.select("id", "n"), "id"), "open-signatures")
-    x, y = left.where("searches").alias("x"), left.alias("y")
-    low, high = threshold.numerator, threshold.denominator
-    open_pairs = (
-        x.join(y, F.col("x.key") == F.col("y.key"))
-        .where("x.component <> y.component AND (NOT y.searches OR x.id < y.id)")
-        .where((F.col("x.n") * high >= F.col("y.n") * low) & (F.col("y.n") * high >= F.col("x.n") * low))
-        .select(*ordered(F.col("x.id"), F.col("y.id"))).distinct())
-    rest = pinned(open_pairs.join(star, ["a", "b"], "left_anti"), "open-pairs")
+    mixed_keys = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets")).where("low <> high").select("key", "sets")
+    left = pinned(placed.join(mixed_keys, "key"), "open-signatures")
+    rest = pinned(open_pairs(left, sketches, threshold).join(star, ["a", "b"], "left_anti"), "open-pairs")
     more = verify(rest, sketches, texts, threshold)
     roots = connected_components(linked.unionByName(more).unionByName(same_id))
 

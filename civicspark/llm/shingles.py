@@ -11,6 +11,8 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
+#: Bits of a short sketch, a multiple of 64.
+SHORT = 1024
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -67,6 +69,12 @@ def sketch(members: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def short_sketch(members: np.ndarray) -> bytes:
+    """Parities of the members in ``SHORT`` bits, whatever their number; bounds differences as ``sketch`` does."""
+    counts = np.bincount((members & np.uint64(SHORT - 1)).astype(np.int64), minlength=SHORT)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def sketch_distance(a: bytes, b: bytes) -> int:
     """Bits in which two sketches differ, the longer folded to the length of the shorter."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)

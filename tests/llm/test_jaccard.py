@@ -97,3 +97,27 @@ def test_shingles_of_words():
     hasher = Hasher()
     for text in ("a b c d e f", "A B  c d\te", "a b", "", "a a a a a a a a", "é É b c d e"):
         assert len(hasher.members(text)) == len(brute.shingles(text))
+
+
+@pytest.fixture
+def small_tiles(monkeypatch):
+    monkeypatch.setattr(jj, "TILE", 7)
+    monkeypatch.setattr(jj, "FEW", 3)
+
+
+def test_planted_families_in_small_tiles(planted, small_tiles):
+    assert shown(jj.join(planted)) == want(planted.collect())
+
+
+def test_family_of_loose_copies(spark, small_tiles):
+    """Many edits of one text: most pairs lie below the threshold, some above it."""
+    draw = random.Random(11)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for k in range(240):
+        text = list(base)
+        for at in draw.sample(range(len(base)), draw.choice((0, 1, 2, 3, 5, 8, 11))):
+            text[at] = f"e{draw.randrange(60)}"
+        rows.append((k, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert shown(jj.join(df)) == want(df.collect())
