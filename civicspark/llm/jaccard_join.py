@@ -183,7 +183,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             sizes, prints, sketches, shorts = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in (value.as_py() for value in batch.column(1)):
                 members = hasher.members(text)
                 sketches.append(sketch(members))
                 shorts.append(short_sketch(members))
@@ -228,7 +228,7 @@ def index_rows(docs: DataFrame, threshold: Fraction, hot: np.ndarray, counts: np
         for batch in batches:
             ids = batch.column(0).to_pylist()
             sigs, owners, n = [], [], 0
-            for key, text in zip(ids, batch.column(1).to_pylist(), strict=True):
+            for key, text in zip(ids, (value.as_py() for value in batch.column(1)), strict=True):
                 members = hasher.members(text)
                 if not len(members) or (mark := fingerprint(members)) in seen:
                     continue

@@ -161,7 +161,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFra
     def run(batches):
         net = model.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            texts = batch.column(batch.schema.get_field_index(text))  # made one at a time below
             totals: dict[int, list] = {}
 
             def settle(owners, parts):
@@ -174,7 +174,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFra
                     at += len(part)
 
             owners, parts, waiting = [], [], 0
-            for k, body in enumerate(texts):
+            for k, body in enumerate(value.as_py() for value in texts):
                 if net is None or not body or not _LETTER.search(body):
                     continue
                 owners.append(k)

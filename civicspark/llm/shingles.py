@@ -29,7 +29,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class Hasher:
     """Hashes of words, remembered up to a number of words."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         self.known: dict[bytes, bytes] = {}
         self.most = most
 
