@@ -121,3 +121,25 @@ def test_family_of_loose_copies(spark, small_tiles):
         rows.append((k, " ".join(text)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert shown(jj.join(df)) == want(df.collect())
+
+
+@pytest.mark.parametrize("few", [1, 24])
+@pytest.mark.parametrize("sides", [False, True])
+def test_tiles_find_what_sketches_allow(monkeypatch, few, sides):
+    monkeypatch.setattr(jj, "FEW", few)
+    draw, rows, words = np.random.default_rng(5), 90, jj.SHORT // 64
+    unit = np.repeat([0, 1, 2], [60, 29, 1])
+    left = draw.integers(1, 3, rows) if sides else np.zeros(rows, int)
+    base = draw.integers(0, 2**63, words).astype(np.uint64)
+    bits = np.array([base ^ np.bitwise_or.reduce([np.eye(1, words, p // 64, dtype=np.uint64)[0] << np.uint64(p % 64) for p in draw.integers(0, jj.SHORT, k % 30 + 1)]) for k in range(rows)])
+    n, component = draw.integers(60, 90, rows), draw.integers(0, 40, rows)
+    searches, ids = draw.random(rows) < 0.7, draw.permutation(rows)
+    least = np.arange(rows * jj.LEAST).reshape(rows, -1)  # no two sets agree
+    hashed = np.zeros_like(least)
+    x, y = jj.compared(unit, left, ids, n, component, searches, least, hashed, bits, Fraction(3, 4))
+    want = {
+        (a, b) for a in range(rows) for b in range(a) if unit[a] == unit[b] and (not sides or left[a] != left[b])
+        and component[a] != component[b] and (searches[a] or searches[b])
+        and 4 * n[a] >= 3 * n[b] and 4 * n[b] >= 3 * n[a]
+        and 7 * int(np.bitwise_count(bits[a] ^ bits[b]).sum()) <= n[a] + n[b]}
+    assert want and sorted((max(p), min(p)) for p in zip(x, y, strict=True)) == sorted(want)
