@@ -2,8 +2,8 @@
 
 Windows of 256 bytes; byte embeddings; filters of widths 2, 3 and 4; the largest response of
 each filter over the window; softmax.  The network is trained in numpy on the driver from a
-bounded sample of labelled rows (``per_language`` documents of each language, ``per_document``
-windows of each, both parameters) and applied to all windows of every text in batches.  A
+bounded sample of labelled rows (``per_language`` distinct texts of each language,
+``per_document`` windows of each, both parameters) and applied to all windows of every text in batches.  A
 document's probabilities are the normalised mean of its windows' log-probabilities.
 
 A text that is null or holds no letter is ``und`` with score 0, and so is every text when
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from civicspark.llm.support import ship
@@ -114,35 +115,51 @@ class ByteNet:
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
-def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT, text: str = "text", lang: str = "lang") -> ByteNet | None:
-    """Fit on a bounded sample of each language; None if no row has both a text and a language.
+def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT, text: str = "text", lang: str = "lang") -> DataFrame:
+    """lang, h and windows w of the ``per_language`` distinct texts of smallest hash of each language.
 
-    Rows are ordered by a hash of their text.  Languages are counted first, a share of each is
-    then taken that has about ``per_language`` rows, and the smallest hashes of those are kept.
+    Copies of a text count once, so neither they nor the hottest text take another's place.
+    Distinct texts are counted roughly first, and only a share of each language with about twice
+    ``per_language`` of them is cut into windows; the exact cut follows.
     """
     ship(labelled.sparkSession)
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND text <> '' AND lang IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
-        return None
-    languages = sorted(counts)
-    share = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, 1.5 * per_language / counts[k] + 0.001))])
-    taken = rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 40))).where(F.col("h") < share[F.col("lang")] * float(1 << 40))
+    rows = rows.withColumn("id", F.xxhash64("text")).withColumn("h", F.pmod("id", F.lit(1 << 40)))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")).collect()}
+    share = {k: 2.0 * per_language / max(1, n) for k, n in counts.items()}
+    below = F.create_map(*[F.lit(v) for k in sorted(share) for v in (k, min(1.0, share[k]) * float(1 << 40))])
+    taken = rows.where(F.col("h") < below[F.col("lang")]) if counts else rows
+    kinds = pa.schema([("lang", pa.string()), ("id", pa.int64()), ("h", pa.int64()), ("w", pa.binary())])
 
     def cut(batches):
+        seen = set()  # of this task; about twice per_language a language
         for batch in batches:
             made = []
-            for body, language, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                w = windows_of(body.encode("utf-8", "surrogatepass"))
+            for k, key in enumerate(zip(*(batch.column(n).to_pylist() for n in (1, 2, 3)), strict=True)):
+                if key in seen:
+                    continue
+                seen.add(key)
+                w = windows_of(batch.column(0)[k].as_py().encode("utf-8", "surrogatepass"))
                 at = np.unique(np.linspace(0, len(w) - 1, per_document).round().astype(int))
-                made.append((language, h, w[at].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*made, strict=True)], names=["lang", "h", "w"]) if made else pa.RecordBatch.from_pylist([], pa.schema([("lang", pa.string()), ("h", pa.int64()), ("w", pa.binary())]))
+                made.append((*key, w[at].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds.types, strict=True)], schema=kinds) if made else pa.RecordBatch.from_pylist([], kinds)
 
-    sample = taken.select("text", "lang", "h").mapInArrow(cut, "lang string, h bigint, w binary").collect()
+    cuts = taken.select("text", "lang", "id", "h").mapInArrow(cut, "lang string, id bigint, h bigint, w binary")
+    once = cuts.groupBy("lang", "id", "h").agg(F.min("w").alias("w"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))
+    return once.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "h", "w")
+
+
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT, text: str = "text", lang: str = "lang") -> ByteNet | None:
+    """Fit on a bounded sample of each language; None if no row has both a text and a language."""
+    found: dict[str, list] = {}
+    for r in sample(labelled, per_language, per_document, text, lang).collect():
+        found.setdefault(r["lang"], []).append((r["h"], bytes(r["w"])))
+    languages = sorted(found)
     x, y = [], []
     for k, language in enumerate(languages):
-        for r in sorted((r["h"], bytes(r["w"])) for r in sample if r["lang"] == language)[:per_language]:
-            part = np.frombuffer(r[1], np.uint8).reshape(-1, WINDOW)
+        for _, w in sorted(found[language]):
+            part = np.frombuffer(w, np.uint8).reshape(-1, WINDOW)
             x.append(part)
             y += [k] * len(part)
     if not x:

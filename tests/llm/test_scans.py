@@ -133,3 +133,14 @@ def test_language_odd_rows(odd_languages):
         assert net is None or all(p in ("en", "fr") for k, p, _ in rows if k in (3, 4, None))
     assert langid.train(odd_languages.limit(0)) is None
     assert langid.predict(odd_languages.limit(0), None).count() == 0
+
+
+def test_language_sample_holds_distinct_texts(spark, monkeypatch):
+    """Two hundred copies of each of 20 texts and 40 single ones: the sample is 30 different texts."""
+    rows = [(f"copied text number {i} ", "aa") for i in range(20) for _ in range(200)] + [(f"single text number {i} ", "aa") for i in range(40)]
+    rows += [(f"another tongue {i} ", "bb") for i in range(5) for _ in range(3)]
+    seen = {}
+    monkeypatch.setattr(langid.ByteNet, "fit", lambda net, x, y: seen.update(x=x, y=y) or net)
+    langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(5), per_language=30)
+    learnt = [(int(k), w.tobytes()) for k, w in zip(seen["y"], seen["x"], strict=True)]
+    assert len(learnt) == len(set(learnt)) == 35 and sum(k == 0 for k, _ in learnt) == 30
