@@ -2,21 +2,24 @@
 
 Each page's containers are scored by the text they hold outside boilerplate.  The path of the
 best one, its tags with generalised classes, is the page's vote; votes are summed per host and
-path in Spark, and every page is extracted again with its host's winning path.  A page on which
-the winning path matches nothing uses its own best container.
+path in Spark.  The path with the most pages and every other one that several pages of the host
+vote for, each a template, are kept; a page is extracted with the one of them that scores best on
+it.  A page on which none of them matches, or holds any text, uses its own best container.
 
 Kept: the blocks of the container in page order.  Left out: menus, headers (but the headings of
 an article's own header), footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments, known by their tag, role or by words of their class and id.
 
-A null, empty or textless page has the empty text.  Pages without a host form one group.  Equal
-votes go to the smallest path.  Rows come out as often as they come in.
+A null, empty or textless page has the empty text.  Pages without a host have no common template:
+each uses its own best container.  Equal scores go to the smallest path.  Rows come out as often
+as they come in.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Collection
 from html import unescape
 from typing import NamedTuple
 
@@ -54,6 +57,9 @@ NOISE = frozenset(
 #: Words of a class or id that mark main text.
 MAIN = frozenset("article content main post entry story body text".split())
 
+#: A path that this many pages of a host vote for is one of its templates.
+SEVERAL = 2
+
 #: Containers nested deeper belong to the one at this depth.
 DEEPEST = 48
 
@@ -219,11 +225,13 @@ def scored(blocks: list[Block], containers: list[Node]) -> dict[str, float]:
     return scores
 
 
-def text_at(blocks: list[Block], containers: list[Node], path: str | None) -> str:
-    """Blocks inside the containers of a path; without one, of the page's own best path."""
-    if not any(n.path == path for n in containers):
-        scores = scored(blocks, containers)
-        path = min(scores, key=lambda p: (-scores[p], p)) if scores else None
+def text_at(blocks: list[Block], containers: list[Node], paths: Collection[str] | None) -> str:
+    """Blocks inside the containers of the path that scores best, among ``paths`` if any of them holds text."""
+    scores = scored(blocks, containers)
+    voted = {p: scores[p] for p in paths or () if p in scores}
+    if voted and (max(voted.values()) > 0 or not any(scores.values())):
+        scores = voted
+    path = min(scores, key=lambda p: (-scores[p], p)) if scores else None
     wanted = {k for k, n in enumerate(containers) if n.path == path}
     return "\n\n".join(b.text for b in blocks if path is None or not wanted.isdisjoint(b.inside))
 
@@ -234,7 +242,7 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def host_votes(pages: DataFrame) -> DataFrame:
-    """Winning path per ``_host``: each page votes for its best path with the score it has there."""
+    """Voted paths per ``_host``: each page votes for its best path with the score it has there."""
     ship(pages.sparkSession)
 
     def run(batches):
@@ -251,28 +259,30 @@ def host_votes(pages: DataFrame) -> DataFrame:
                 [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
                 names=["_host", "path", "score"])
 
-    votes = pages.select("_host", "html").mapInArrow(run, "_host string, path string, score double")
+    votes = pages.where("_host <> ''").select("_host", "html").mapInArrow(run, "_host string, path string, score double")
     sums = votes.groupBy("_host", "path").agg(F.count("*").alias("pages"), F.round(F.sum("score"), 3).alias("score"))
-    return sums.groupBy("_host").agg(
-        F.min(F.struct((-F.col("pages")).alias("a"), (-F.col("score")).alias("b"), "path"))["path"].alias("_path"))
+    first = F.min(F.struct((-F.col("pages")).alias("a"), (-F.col("score")).alias("b"), "path"))["path"]
+    several = F.collect_set(F.when(F.col("pages") >= SEVERAL, F.col("path")))
+    return sums.groupBy("_host").agg(F.array_sort(F.array_union(F.array(first), several)).alias("_paths"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     hosted = with_host(pages.select("page_id", "url", "html"))
     winners = pinned(host_votes(hosted), "host-paths")
-    joined = join_small(hosted, winners, ["_host"], "left", winners.count())
+    n = winners.agg(F.sum(F.size("_paths"))).first()[0] or 0
+    joined = join_small(hosted, winners, ["_host"], "left", n)
     kinds = dict(pages.dtypes)
 
     def run(batches):
         for batch in batches:
             texts = [
-                text_at(*parse(html or ""), path)
-                for html, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                text_at(*parse(html or ""), paths)
+                for html, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "_path").mapInArrow(
+    return joined.select("page_id", "url", "html", "_paths").mapInArrow(
         run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")

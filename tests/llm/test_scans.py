@@ -99,6 +99,18 @@ def test_extraction_parts_and_votes(spark):
     assert extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_extraction_keeps_every_template_of_a_host(spark):
+    """A host of two templates, the smaller of which has the larger one's path as a teaser, and pages without a host."""
+    page = "<html><body><div class=a>{}</div><div class=b>{}</div></body></html>"
+    long = "main text of this page " * 9
+    rows = [(i, f"http://h.org/{i}", page.format(long, "teaser")) for i in range(5)]
+    rows += [(i, f"http://h.org/{i}", page.format("teaser", long)) for i in range(5, 8)]
+    rows += [(8, "http://h.org/8", page.format("<a>teaser</a>", f"<section>{long}</section>"))]
+    rows += [(i, None, page.format(long, "teaser")) for i in range(9, 12)] + [(i, "x", page.format("teaser", long)) for i in (12, 13)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in extraction.extract(pages).collect()} == {i: long.strip() for i in range(14)}
+
+
 def test_extraction_of_all_pages(spark):
     rows = op1_html_extraction(spark, SF).collect()
     html = {r.page_id: r.html for r in table(spark, SF, "pages").collect()}
