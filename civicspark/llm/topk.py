@@ -10,7 +10,8 @@ The slices' best are merged per query.
 
 Vectors that are null, or hold a null or non-finite component, take no part.  A shorter vector
 counts as filled up with zeros.  Ties go to the smaller id; repeated rows are separate
-candidates (a query leaves out every row of its own id).  With fewer candidates than k, all
+candidates (a query leaves out every row of its own id).  Query rows of one id are one query,
+asked once for each different vector; a candidate row's score is its best over these.  With fewer candidates than k, all
 are returned; an empty table gives no rows.
 """
 
@@ -77,24 +78,29 @@ def scores(queries: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return queries.astype(np.int64) @ matrix.T.astype(np.int64)
 
 
-def keep_best(found: np.ndarray, ids: np.ndarray, own: np.ndarray, new: np.ndarray, new_ids: np.ndarray, k: int):
-    """The k best of what was found and of new scores, by score and then by smaller id."""
+def keep_best(found: np.ndarray, ids: np.ndarray, places: np.ndarray, own: np.ndarray, new: np.ndarray, new_ids: np.ndarray, first: int, k: int):
+    """The k best of what was found and of new scores, by score and then by smaller id.
+
+    ``places`` are the rows' numbers over all blocks; those of the new ones count up from ``first``.
+    """
     gone = np.iinfo(np.int64).min
     new = np.where(new_ids[None, :] == own[:, None], gone, new)
+    every = np.broadcast_to(np.arange(len(new_ids)), new.shape)
     if new.shape[1] > 4 * k:
         # Whatever may be among the best reaches the k-th largest score; ties at it all stay.
         kth = np.partition(new, new.shape[1] - k, axis=1)[:, -k]
         reach = (new >= kth[:, None]).sum(1).max()
         if reach <= 64:
             pick = np.argpartition(-new.astype(np.float64), min(int(reach), new.shape[1] - 1), axis=1)[:, : int(reach)] if np.abs(new[new > gone]).max(initial=0) < _EXACT else np.argsort(new, axis=1)[:, ::-1][:, : int(reach)]
-            new, picked = np.take_along_axis(new, pick, 1), new_ids[pick]
+            new, picked = np.take_along_axis(new, pick, 1), pick
         else:
-            picked = np.broadcast_to(new_ids, new.shape)
+            picked = every
     else:
-        picked = np.broadcast_to(new_ids, new.shape)
-    all_scores, all_ids = np.concatenate([found, new], 1), np.concatenate([ids, picked], 1)
+        picked = every
+    all_scores, all_ids = np.concatenate([found, new], 1), np.concatenate([ids, new_ids[picked]], 1)
+    all_places = np.concatenate([places, first + picked], 1)
     order = np.lexsort((all_ids, -np.where(all_scores == gone, gone + 1, all_scores)), axis=1)[:, :k]
-    return np.take_along_axis(all_scores, order, 1), np.take_along_axis(all_ids, order, 1)
+    return tuple(np.take_along_axis(a, order, 1) for a in (all_scores, all_ids, all_places))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, slices: int = SLICES) -> DataFrame:
@@ -103,12 +109,12 @@ def search(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, sli
     ship(spark)
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     docs = pinned(make_blocks(rows, block), "top-k-blocks")
-    asked = pinned(make_blocks(rows.where(is_query), 1024), "top-k-queries")
+    asked = pinned(make_blocks(rows.where(is_query).distinct(), 1024), "top-k-queries")
     # Every block of queries meets every block of documents, in slices that run side by side.
     slice_of = F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int")
     left = asked.select(F.col("block").alias("q"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("width").alias("q_width"),
                         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
-    pairs = left.join(docs.select(slice_of.alias("slice"), "ids", "matrix", "width", "top", "low"), "slice")
+    pairs = left.join(docs.select(slice_of.alias("slice"), (F.col("block") * block).alias("first"), "ids", "matrix", "width", "top", "low"), "slice")
     gone = np.iinfo(np.int64).min
 
     def widened(m: np.ndarray, width: int) -> np.ndarray:
@@ -126,7 +132,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, sli
                 out.append(float(bounds(q, *ends).max(initial=0.0)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "bound"])
 
-    names = "q bigint, slice int, q_ids binary, q_matrix binary, q_width int, ids binary, matrix binary, width int, top binary, low binary"
+    names = "q bigint, slice int, q_ids binary, q_matrix binary, q_width int, first bigint, ids binary, matrix binary, width int, top binary, low binary"
     ordered = (
         pairs.select(*[c.split()[0] for c in names.split(", ")]).mapInArrow(bound_of, names + ", bound double")
         .repartition("q", "slice").sortWithinPartitions("q", "slice", F.desc("bound")))
@@ -139,7 +145,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, sli
             used &= state["scores"] > gone
             q, r = np.nonzero(used)
             return pa.RecordBatch.from_arrays(
-                [pa.array(state["own"][q]), pa.array(state["ids"][q, r]), pa.array(state["scores"][q, r])], names=["query_id", "vec_id", "score"])
+                [pa.array(state["own"][q]), pa.array(state["ids"][q, r]), pa.array(state["places"][q, r]), pa.array(state["scores"][q, r])], names=["query_id", "vec_id", "place", "score"])
 
         for batch in batches:
             for row in range(batch.num_rows):  # a row is a block of documents for a block of queries
@@ -149,7 +155,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, sli
                         yield result()
                     own = np.frombuffer(x["q_ids"], np.int64)
                     state = {"key": (x["q"], x["slice"]), "own": own, "q": np.frombuffer(x["q_matrix"], np.int64).reshape(len(own), -1),
-                             "scores": np.full((len(own), k), gone), "ids": np.full((len(own), k), -1)}
+                             "scores": np.full((len(own), k), gone), "ids": np.full((len(own), k), -1), "places": np.full((len(own), k), -1)}
                 ids = np.frombuffer(x["ids"], np.int64)
                 wide = max(state["q"].shape[1], x["width"])
                 q = widened(state["q"], wide)
@@ -160,10 +166,12 @@ def search(vectors: DataFrame, is_query: Column, k: int, block: int = BLOCK, sli
                 live = np.flatnonzero((state["scores"][:, -1] == gone) | (limit + 1e-9 * np.abs(limit) + 1 >= state["scores"][:, -1]))
                 if len(live):
                     new = scores(q[live], matrix)
-                    state["scores"][live], state["ids"][live] = keep_best(state["scores"][live], state["ids"][live], state["own"][live], new, ids, k)
+                    best = keep_best(state["scores"][live], state["ids"][live], state["places"][live], state["own"][live], new, ids, x["first"], k)
+                    state["scores"][live], state["ids"][live], state["places"][live] = best
         if state:
             yield result()
 
-    best = ordered.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    lists = ordered.mapInArrow(run, "query_id bigint, vec_id bigint, place bigint, score bigint")
+    best = lists.groupBy("query_id", "vec_id", "place").agg(F.max("score").alias("score"))  # one list for each vector of an id
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))  # k rows of each slice
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -53,6 +53,20 @@ def test_top_k_ties_and_odd_rows(odd, block):
     assert got == top(rows.collect(), 4, lambda q: q % 3 == 0)
 
 
+def test_top_k_of_repeated_queries(spark):
+    """A query row that stands twice, one id with two vectors, and candidates that stand twice."""
+    rows = [(0, [1.0, 0.0])] * 2 + [(50, [1.0, 0.0]), (50, [0.0, 1.0])] + [(i, [i / 10, (9 - i) / 10]) for i in range(1, 9)] + [(8, [0.8, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    want = []
+    for q in (0, 50):
+        asked = [np.array(v, np.float32) for i, v in rows if i == q]
+        score = lambda v: max(int(np.floor(256 * a.astype(float)) @ np.floor(256 * np.array(v, np.float32).astype(float))) for a in asked)  # noqa: B023, E731
+        near = sorted((-score(v), i) for i, v in rows if i != q)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(near, 1)]
+    for block in (1, 3, 64):
+        assert sorted(tuple(r) for r in topk.search(frame, F.col("vec_id") % 50 == 0, 5, block=block, slices=2).collect()) == want
+
+
 def test_top_k_few_and_none(odd):
     three = odd.where("vec_id IN (0, 1, 2)")
     assert len(topk.search(three, F.col("vec_id") == 0, 5).collect()) == 2
