@@ -96,7 +96,12 @@ _PLACES = """SELECT c_custkey,
         WHEN c_custkey % 13 = 0 THEN cast(0 AS double) - cast(c_custkey AS double) * cast(1234567.75 AS double)
         ELSE cast(c_custkey % 50 AS double) / cast(8 AS double) - cast(3 AS double) END AS long
 FROM {customer}"""
-_NUMBER = r"regexp_replace(printf('%.20f', {0}), '\.?0+$', '')"
+# The shortest digits, in plain notation: 6.27e-05 is written out, a final .0 left away.
+_NUMBER = r"""CASE WHEN contains(cast({0} AS varchar), 'e-') THEN
+    CASE WHEN {0} < 0 THEN '-0.' ELSE '0.' END
+    || repeat('0', cast(split_part(cast({0} AS varchar), 'e-', 2) AS int) - 1)
+    || regexp_replace(split_part(cast({0} AS varchar), 'e-', 1), '[.-]', '', 'g')
+    ELSE regexp_replace(cast({0} AS varchar), '\.0$', '') END"""
 
 
 @check("geo_point_text", f"""

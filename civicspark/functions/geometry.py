@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civicspark.functions.scalars import _col
+from civicspark.functions.scalars import _col, unscientific
 
 
 def make_point(x: Column | str, y: Column | str) -> Column:
@@ -21,8 +21,8 @@ def make_point(x: Column | str, y: Column | str) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """A double in plain notation, without trailing zeros."""
-    return F.regexp_replace(F.format_string("%.20f", value), r"\.?0+$", "")
+    """A double in plain notation: the shortest digits that read back, without a final ``.0``."""
+    return F.regexp_replace(unscientific(value), r"\.0$", "")
 
 
 def point_text(point: Column | str) -> Column:

@@ -103,13 +103,12 @@ def concat_nulls_empty(*parts: Column) -> Column:
     return F.concat_ws("", *[part.cast("string") for part in parts])
 
 
-def plain_number(value: Column | str) -> Column:
-    """A double as text in plain notation, with all its digits; whole numbers keep ``.0``.
+def unscientific(value: Column | str) -> Column:
+    """A double as text in plain notation: the shortest digits that read back as the value.
 
-    From 1e16 on, and below 1e-4, the text is in scientific notation as SQL engines print it.
+    Whole numbers keep ``.0``.  Only text in scientific notation is taken apart.
     """
     value = _col(value).cast("double")
-    size = F.abs(value)
     exact = value.cast("string")
     digits = F.regexp_replace(F.regexp_extract(exact, r"^-?([0-9.]+)E", 1), r"\.", "")
     power = F.regexp_extract(exact, r"E(-?[0-9]+)$", 1).try_cast("int")
@@ -118,13 +117,23 @@ def plain_number(value: Column | str) -> Column:
     padded = F.rpad(digits, F.greatest(power + 2, F.length(digits)), "0")
     large = F.concat(sign, F.substring(padded, F.lit(1), power + 1), F.lit("."), F.substring(padded, power + 2, F.length(padded)))
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), F.regexp_replace(digits, "0+$", ""))
-    mantissa, scientific = F.regexp_replace(F.regexp_extract(exact, r"^(-?[0-9.]+)E", 1), r"\.0$", ""), exact.contains("E")
+    return F.when(~exact.contains("E"), exact).when(power > 0, large).otherwise(small)
+
+
+def plain_number(value: Column | str) -> Column:
+    """A double as text in plain notation, with all its digits; whole numbers keep ``.0``.
+
+    From 1e16 on, and below 1e-4, the text is in scientific notation as SQL engines print it.
+    """
+    value = _col(value).cast("double")
+    size, exact = F.abs(value), value.cast("string")
+    power = F.regexp_extract(exact, r"E(-?[0-9]+)$", 1).try_cast("int")
+    mantissa = F.regexp_replace(F.regexp_extract(exact, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
     outside = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
     return (
-        F.when(~scientific, exact)
+        F.when(~exact.contains("E"), exact)
         .when((size >= 1e16) | (size < 1e-4), outside)
-        .when(power > 0, large)
-        .otherwise(small))
+        .otherwise(unscientific(value)))
 
 
 def point_label(lat: Column | str, long: Column | str) -> Column:
