@@ -8,12 +8,15 @@ from civicspark.checks import inputs
 from civicspark.checks.files import _CERTIFICATES, _certificate_rows, _land_documents
 from civicspark.checks.registry import check, derive, table
 from civicspark.functions.names import apply_names, hyphen_lower
-from civicspark.plans.certificates import certificate_updates, refresh_certificates
+from civicspark.plans.certificates import (
+    certificate_updates, refresh_certificate_table, refresh_certificates,
+)
 from civicspark.plans.etl import build_tables, extract_all, run_full_etl
 from civicspark.plans.views import Region
 from civicspark.session import scratch_path
+from civicspark.sources.keyed import KeyedTable
 from civicspark.sources.sinks import export_csv, upsert_by_key
-from civicspark.streaming.refresh import refresh_table
+from civicspark.streaming.refresh import refresh_keyed_table, refresh_table
 
 _BASE = """SELECT o_orderkey AS LMK_KEY, o_orderstatus AS STATUS, o_totalprice AS PRICE,
     cast(o_orderdate AS date) AS LODGED FROM {orders} WHERE o_orderkey % 5 <> 0"""
@@ -61,6 +64,31 @@ def stream_refresh(spark, sf_dir):
     return result
 
 
+@check("upsert_into_buckets", _UPSERTED, texts=["LODGED"])
+def upsert_into_buckets(spark, sf_dir):
+    """The same upsert into a table laid out by key, in place."""
+    made = KeyedTable.create(derive(spark, sf_dir, _BASE), scratch_path(spark, "keyed"), "LMK_KEY", 16)
+    return made.upsert(derive(spark, sf_dir, _BATCH), ["LODGED"]).read()
+
+
+@check("stream_into_buckets", _UPSERTED, texts=["LODGED"])
+def stream_into_buckets(spark, sf_dir):
+    """Three runs of a stream into a keyed table; each goes on where its record says,
+    the last finds nothing new."""
+    landed, updates, checkpoint, root = (
+        scratch_path(spark, name) for name in ("landed", "updates", "stream", "keyed")
+    )
+    batch = derive(spark, sf_dir, _BATCH)
+    KeyedTable.create(derive(spark, sf_dir, _BASE), root, "LMK_KEY", 16, high_water_column="LODGED")
+    for run, part in enumerate((batch.where("STATUS = 'new'"), batch.where("STATUS = 'late'"), None)):
+        if part is not None:
+            export_csv(part, f"{landed}/run={run}")
+        result = refresh_keyed_table(
+            spark, root, f"{landed}/run=*", batch.schema, updates, checkpoint, order=["LODGED"]
+        )
+    return result.read()
+
+
 _REFRESHED_BASE = f"SELECT * FROM ({_CERTIFICATES}) WHERE LODGEMENT_DATE < date '1999-01-15'"
 # Every tenth certificate was lodged again two years later.
 _REFRESHED_PAGES = """SELECT 'K' || cast(o_orderkey AS string) AS LMK_KEY,
@@ -70,13 +98,16 @@ _REFRESHED_PAGES = """SELECT 'K' || cast(o_orderkey AS string) AS LMK_KEY,
 FROM {orders}"""
 
 
-@check("refreshed_certificates", f"""
+_REFRESHED = f"""
 WITH base AS ({_REFRESHED_BASE}),
 pages AS (SELECT * FROM ({_REFRESHED_PAGES}) WHERE LODGEMENT_DATE < date '2000-07-01' AND LODGEMENT_DATE
     >= (SELECT date_trunc('month', max(LODGEMENT_DATE)) + INTERVAL 1 MONTH FROM base)
     AND LOCAL_AUTHORITY IN ('A3', 'A4', 'A5'))
 SELECT * FROM base WHERE LMK_KEY NOT IN (SELECT LMK_KEY FROM pages) UNION ALL SELECT * FROM pages
-""", doubles=["TOTAL_FLOOR_AREA"], texts=["LODGEMENT_DATE"])
+"""
+
+
+@check("refreshed_certificates", _REFRESHED, doubles=["TOTAL_FLOOR_AREA"], texts=["LODGEMENT_DATE"])
 def refreshed_certificates(spark, sf_dir):
     """Pages from the month after the table's latest, upserted into a new path."""
     landed = scratch_path(spark, "pages")
@@ -90,6 +121,22 @@ def refreshed_certificates(spark, sf_dir):
     )
 
 
+@check("refreshed_certificate_table", _REFRESHED, doubles=["TOTAL_FLOOR_AREA"], texts=["LODGEMENT_DATE"])
+def refreshed_certificate_table(spark, sf_dir):
+    """The same pages into a keyed table, from the month its record names."""
+    landed, root = scratch_path(spark, "pages"), scratch_path(spark, "keyed")
+    export_csv(apply_names(_certificate_rows(spark, sf_dir, _REFRESHED_PAGES), hyphen_lower), landed)
+    KeyedTable.create(
+        _certificate_rows(spark, sf_dir, _REFRESHED_BASE), root, "LMK_KEY", 16, "LODGEMENT_DATE"
+    )
+    table_now = refresh_certificate_table(
+        spark, root, landed, la_codes=["A3", "A4", "A5"], to_period=(2000, 6)
+    )
+    return table_now.read().select(
+        "LMK_KEY", "LOCAL_AUTHORITY", "ADDRESS1", "LODGEMENT_DATE", "TOTAL_FLOOR_AREA"
+    )
+
+
 def _land_sources(spark, sf_dir) -> str:
     """Landed files of an end-to-end run, derived from the test tables."""
     root = scratch_path(spark, "landing")

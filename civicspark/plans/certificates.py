@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,9 @@ from civicspark.operators.sets import union_all
 from civicspark.plans.geography import region_codes
 from civicspark.schemas import NON_DOMESTIC_CERTIFICATES
 from civicspark.sources.files import read_certificate_pages
+from civicspark.sources.keyed import KeyedTable
 from civicspark.sources.sinks import replace_table, upsert_by_key
-from civicspark.streaming.periods import next_period_value
+from civicspark.streaming.periods import next_period_value, period_after
 
 # Postcode columns the domestic view shows, in order.
 POSTCODE_COLUMNS = (
@@ -146,6 +148,32 @@ def certificate_updates(pages: Sequence[DataFrame]) -> DataFrame:
     return apply_names(union_all(pages), upper_underscore)
 
 
+def refresh_certificate_table(
+    spark: SparkSession,
+    root: str,
+    landed: str,
+    cert_type: str = "domestic",
+    la_codes: DataFrame | Sequence[str] | None = None,
+    to_period: tuple[int, int] | None = None,
+    multi_line: bool = True,
+) -> KeyedTable:
+    """Bring a keyed certificate table up to date from landed pages, in place.
+
+    Pages are taken from the month after the latest date in the table's own record, so the
+    table is not scanned for it, and only the buckets of updated keys are rewritten.
+    """
+    table = KeyedTable.open(spark, root)
+    if table.state.high_water is None:
+        raise ValueError(f"{root} keeps no date to go on from")
+    start = period_after(date.fromisoformat(table.state.high_water))
+    pages = read_certificate_pages(
+        spark, landed, cert_type, from_period=start, to_period=to_period, multi_line=multi_line
+    )
+    if la_codes is not None:
+        pages = in_codes(pages, "local-authority", la_codes)
+    return table.upsert(certificate_updates([pages]), ["LODGEMENT_DATETIME"])
+
+
 def refresh_certificates(
     spark: SparkSession,
     base: DataFrame,

@@ -68,6 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of this library once nothing reads it any more."""
+    if not path.startswith(shared_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (runs a job): later stages re-read it if an executor is lost."""
     shared_dir(df.sparkSession)

@@ -23,6 +23,11 @@ def three_months_back(today: date | None = None) -> tuple[int, int]:
     return (today.year, max(1, today.month - 3))
 
 
+def period_after(day: date) -> tuple[int, int]:
+    """The month after a day."""
+    return (day.year + day.month // 12, day.month % 12 + 1)
+
+
 def next_period(published: DataFrame, date_column: str) -> DataFrame:
     """The month after the latest published date, as one row (year, month).
 
