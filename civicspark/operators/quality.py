@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,9 +92,22 @@ def count_rows_of(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
-def warn_if_empty(observation: Observation, message: str) -> int:
-    """Log a warning when the observed frame turned out empty; returns the count."""
-    rows = observation.get["rows"]
+def rows_counted(observation: Observation, written: DataFrame) -> int:
+    """The observed count; where Spark saw beforehand that there is nothing to write, and so
+    observed nothing, the written table is counted."""
+    try:
+        return observation.get["rows"]
+    except (KeyError, Py4JJavaError):
+        return written.count()
+
+
+def warn_if_none(rows: int, message: str) -> int:
+    """Log a warning when there are no rows; returns the count."""
     if rows == 0:
         log.warning(message)
     return rows
+
+
+def warn_if_empty(observation: Observation, message: str) -> int:
+    """The same for a frame that was observed."""
+    return warn_if_none(observation.get["rows"], message)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicspark.operators.columns import ticked
 from civicspark.operators.quality import require_columns
@@ -37,6 +38,17 @@ def first_rows(df: DataFrame, n: int | None) -> DataFrame:
     return df if n is None else df.limit(n)
 
 
+def stable_rows(df: DataFrame, n: int | None) -> DataFrame:
+    """O1: n rows that are the same on every run: those with the least hash of the whole row.
+
+    Each task keeps its n best, so only those are gathered.  ``None`` means all rows.
+    """
+    if n is None:
+        return df
+    kept = [ticked(f.name) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return df.orderBy(F.xxhash64(*kept), *kept).limit(n)
+
+
 def first_rows_by(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """O1, O2: the first n rows in a given order (a top-k, not a full sort)."""
     return df.orderBy(*order).limit(n)

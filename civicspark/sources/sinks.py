@@ -20,6 +20,18 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def replace_partitioned(df: DataFrame, path: str, column: str) -> DataFrame:
+    """K1: as :func:`replace_table`, with a folder for each value of a column.
+
+    Filters and semi-joins on the column then read only the folders they need.  A value's rows
+    go to few files; a value with very many rows is split.  The table comes back with its own
+    types and column order.  An empty text in the column comes back as NULL.
+    """
+    require_columns(df, [column])
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select([ticked(c) for c in df.columns])
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """K3: a folder of CSV parts, each with the header; quotes inside a field are doubled
     and blanks at its ends are kept."""
