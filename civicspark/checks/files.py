@@ -92,29 +92,35 @@ def landed_csv(spark, sf_dir):
 
 _TENURE_LONG = """SELECT 'Area ' || cast(l_orderkey AS string) AS GEOGRAPHY_NAME,
     'L' || cast(l_orderkey AS string) AS GEOGRAPHY_CODE,
-    CASE l_linenumber WHEN 1 THEN 'Total: All households' WHEN 2 THEN 'Owned' ELSE 'Social rented' END
+    CASE l_linenumber WHEN 1 THEN 'Total: All households' WHEN 2 THEN 'Owned' WHEN 3 THEN 'Social rented'
+        WHEN 4 THEN 'Private rented' WHEN 5 THEN 'Shared ownership' WHEN 6 THEN 'Rent free' ELSE 'Other' END
         AS C2021_TENURE_9_NAME,
     l_linenumber AS C2021_TENURE_9_SORTORDER, cast(sum(l_quantity) AS bigint) AS OBS_VALUE
-FROM {lineitem} WHERE l_linenumber <= 3 GROUP BY l_orderkey, l_linenumber"""
+FROM {lineitem} GROUP BY l_orderkey, l_linenumber"""
+_TENURES = ("Total: All households", "Owned", "Social rented", "Private rented", "Shared ownership", "Rent free", "Other")
+_TENURE_COLUMNS = (
+    "total_all_households", "owned", "social_rented", "private_rented", "shared_ownership", "rent_free", "other")
+
+
+_TENURE_SQL = ", ".join(
+    f"max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = {n}) AS {c}" for n, c in enumerate(_TENURE_COLUMNS, 1))
 
 
 @check("landed_tenure", f"""
-SELECT GEOGRAPHY_NAME AS lsoa_name, GEOGRAPHY_CODE AS lsoa21cd,
-    max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = 1) AS total_all_households,
-    max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = 2) AS owned,
-    max(OBS_VALUE) FILTER (C2021_TENURE_9_SORTORDER = 3) AS social_rented
+SELECT GEOGRAPHY_NAME AS lsoa_name, GEOGRAPHY_CODE AS lsoa21cd, {_TENURE_SQL}
 FROM ({_TENURE_LONG}) GROUP BY 1, 2
 """)
 def landed_tenure(spark, sf_dir):
-    """A landed census table, long form, to one row per area."""
+    """A landed census table, long form, with all its categories to one row per area."""
     path = scratch_path(spark, "tenure-csv")
     export_csv(derive(spark, sf_dir, _TENURE_LONG), path)
     wide = tenure_wide(
         read_landed_csv(spark, path, multi_line=False),
-        ["Total: All households", "Owned", "Social rented"],
+        _TENURES,
+    )
+    return wide.select(
+        "lsoa_name", "lsoa21cd", *[F.col(c).cast("bigint").alias(c) for c in _TENURE_COLUMNS]
     )
-    counts = ("total_all_households", "owned", "social_rented")
-    return wide.select("lsoa_name", "lsoa21cd", *[F.col(c).cast("bigint").alias(c) for c in counts])
 
 
 @check("parquet_round_trip", "SELECT l_orderkey, l_quantity, l_shipdate FROM {lineitem} WHERE l_returnflag = 'R'")

@@ -154,9 +154,11 @@ def _land_sources(spark, sf_dir) -> str:
             attributes="struct('L' || cast(c_custkey AS string) AS LSOACD, c_nationkey AS LAD)",
         )
     _land_documents(
-        table(spark, sf_dir, "nation").where("n_regionkey = 3"), f"{root}/ca_la_lookup", "n_nationkey",
-        attributes="struct(n_nationkey AS ObjectId, 'A' || cast(n_nationkey AS string) AS LAD25CD, "
-        "n_name AS LAD25NM, 'C3' AS CAUTH25CD, 'EUROPE' AS CAUTH25NM)",
+        table(spark, sf_dir, "nation"), f"{root}/ca_la_lookup", "n_nationkey",
+        # Codes of other regions are none of the other sources' authorities.
+        attributes="struct(n_nationkey AS ObjectId, CASE n_regionkey WHEN 3 THEN 'A' ELSE 'B' END "
+        "|| cast(n_nationkey AS string) AS LAD25CD, n_name AS LAD25NM, 'C' || cast(n_regionkey AS string) "
+        "AS CAUTH25CD, CASE n_regionkey WHEN 3 THEN 'EUROPE' ELSE 'OTHER' END AS CAUTH25NM)",
     )
     _land_documents(
         table(spark, sf_dir, "supplier"), f"{root}/ca_boundaries_2025", "s_suppkey",
@@ -184,7 +186,7 @@ _IN_REGION = "o_custkey % 25 IN (SELECT n_nationkey FROM {nation} WHERE n_region
 
 
 @check("full_run_inventory", f"""
-SELECT 'ca_la_lookup' AS table_name, count(*) + 1 AS n_rows FROM {{nation}} WHERE n_regionkey = 3
+SELECT 'ca_la_lookup' AS table_name, count(*) + 1 AS n_rows FROM {{nation}}
 UNION ALL SELECT 'lsoa_2021_pwc', count(*) FROM {{customer}}
 UNION ALL SELECT 'imd_2025', count(*) FROM {{customer}} WHERE c_custkey * 2 IN (SELECT c_custkey FROM {{customer}})
 UNION ALL SELECT 'dft_la_lookup', count(*) FROM {{orders}} WHERE {_IN_REGION}
@@ -201,9 +203,7 @@ def full_run_inventory(spark, sf_dir):
         ],
         multi_line=False,
     )
-    if report.failed:
-        raise RuntimeError(f"steps failed: {report.failed}")
-    return report.inventory()
+    return report.raise_if_failed().inventory()
 
 
 @check("extract_inventory", """

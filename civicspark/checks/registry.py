@@ -14,6 +14,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: The casts that both sides of a check apply, by its name.
+CASTS: dict[str, dict[str, str]] = {}
 
 
 def check(
@@ -36,6 +38,7 @@ def check(
             return df.withColumns({c: F.col(c).cast(kind) for c, kind in casts.items()})
 
         QUERIES[name] = plain_types if casts else query
+        CASTS[name] = casts
         ORACLES[name] = plain(sql)
         if casts:
             replaced = ", ".join(f'cast("{c}" AS {kind}) AS "{c}"' for c, kind in casts.items())
