@@ -3,7 +3,7 @@
 A point is ``struct<x, y>``.  A parsed geometry is ``struct<kind, parts>`` with
 ``parts[polygon][ring][point]``; a POINT, MULTIPOINT or LINESTRING is one polygon with one
 ring, a MULTILINESTRING one polygon with a ring for each line, and a GEOMETRYCOLLECTION has the
-polygons of all its members.  An EMPTY geometry has no parts.
+polygons of all its members, those of nested collections too.  An EMPTY geometry has no parts.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civicspark.functions.scalars import _col, unscientific
+from civicspark.functions.wkt import GEOMETRY, parse_texts
 
 
 def make_point(x: Column | str, y: Column | str) -> Column:
@@ -35,61 +36,14 @@ def point_text(point: Column | str) -> Column:
     )
 
 
-_GEOMETRY = "kind string, parts array<array<array<struct<x:double,y:double>>>>"
-# Number spellings well-known text allows and JSON does not.
-_SPELLINGS = {":+": ":", ":.": ":0.", ":-.": ":-0.", ".,": ".0,", ".}": ".0}"}
-_PAIR = r"([^\s,()]+)\s+([^\s,()]+)(?:\s+[^\s,()]+)*"
-
-
-_EMPTY = r"(?i)^[A-Z]+(\s+(Z|M|ZM))?\s+EMPTY$"
-
-
-def _head(text: Column) -> Column:
-    """What stands before the first parenthesis; all of the text where there is none."""
-    return F.upper(F.trim(F.substring_index(text, "(", 1)))
-
-
-def _parts(text: Column) -> Column:
-    """The parts of one geometry as JSON: pairs to objects, parentheses to brackets."""
-    kind, start = _head(text), F.instr(text, "(")
-    body = text.substr(start, F.length(text))
-    # Each point of a MULTIPOINT may stand in parentheses of its own.
-    bare = F.concat(F.lit("("), F.translate(body, "()", ""), F.lit(")"))
-    body = F.when(kind.startswith("MULTIPOINT"), bare).otherwise(body)
-    pairs = F.regexp_replace(body, _PAIR, '{"x":$1,"y":$2}')
-    for spelling, plain in _SPELLINGS.items():
-        pairs = F.replace(pairs, F.lit(spelling), F.lit(plain))
-    nested = F.translate(pairs, "()", "[]")
-    wrapped = (
-        F.when(kind.startswith("MULTIPOLYGON"), nested)
-        .when(kind.startswith("POLYGON") | kind.startswith("MULTILINESTRING"),
-              F.concat(F.lit("["), nested, F.lit("]")))
-        .otherwise(F.concat(F.lit("[["), nested, F.lit("]]")))
-    )
-    return F.when(start > 0, wrapped).when(kind.rlike(_EMPTY), "[]")
-
-
 def parse_wkt(text: Column | str) -> Column:
     """Text of every simple, multiple and collected kind to nested coordinates.
 
-    The text becomes a JSON document for one native parse.  Ordinates after the second are
-    left out.  Text without parentheses, unless EMPTY, gives NULL, as does a collection within a
-    collection; text with malformed coordinates gives a geometry of NULL parts.
+    Whole Arrow batches are parsed by prefix sums (see ``wkt``); collections may lie in
+    collections.  Ordinates after the second are left out.  Text without parentheses, unless
+    EMPTY, gives NULL; text with malformed coordinates or brackets gives a geometry of NULL parts.
     """
-    text = _col(text).cast("string")
-    head = _head(text)
-    collection = head.startswith("GEOMETRYCOLLECTION") & text.contains("(")
-    listed = F.regexp_extract(text, r"(?s)^[^(]*\((.*)\)\s*$", 1)
-    # The members' own outer brackets go; empty members leave nothing.
-    inner = F.transform(
-        F.split(listed, r",\s*(?=[A-Za-z])"), lambda m: F.regexp_replace(_parts(m), r"^\[|\]$", "")
-    )
-    collected = F.concat(F.lit("["), F.array_join(F.filter(inner, lambda m: m != ""), ","), F.lit("]"))
-    members = F.when(~F.upper(listed).contains("GEOMETRYCOLLECTION"), collected)
-    parts = F.when(collection, members).otherwise(_parts(text))
-    kind = F.when(text.contains("("), head).otherwise(F.regexp_replace(head, r"\s+EMPTY$", ""))
-    document = F.concat(F.lit('{"kind":"'), kind, F.lit('","parts":'), parts, F.lit("}"))
-    return F.from_json(document, _GEOMETRY, {"allowNumericLeadingZeros": "true"})
+    return F.arrow_udf(parse_texts, GEOMETRY)(_col(text).cast("string"))
 
 
 def first_point(geometry: Column | str) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -52,13 +52,24 @@ def distinct_by_key(
     return df.withColumn("__nth", F.row_number().over(window)).where("__nth = 1").drop("__nth")
 
 
-def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
+def duplicate_keys(df: DataFrame, *key: str, digest: Callable[..., Column] = F.xxhash64) -> DataFrame:
     """Keys that occur more than once, with their ``count``.
 
-    As in a unique index, a key with a NULL part never counts as a duplicate.
+    As in a unique index, a key with a NULL part never counts as a duplicate.  Texts in the key
+    are first counted by a 64-bit digest, so whole texts are not shuffled; only rows whose digest
+    another row has are then compared by their full keys, and two keys that merely share a
+    digest are told apart there.
     """
     require_columns(df, key)
-    return df.dropna("any", subset=list(key)).groupBy(*key).count().where("count > 1")
+    keyed = df.dropna("any", subset=list(key)).select(*[F.col(f"`{k}`") for k in key])
+    kinds = {f.name.lower(): f.dataType for f in keyed.schema.fields}
+    texts = [k for k in key if isinstance(kinds[k.lower()], (T.StringType, T.BinaryType))]
+    if texts:
+        rest = [k for k in key if k not in texts]
+        keyed = keyed.withColumn("__digest", digest(*[F.col(f"`{k}`") for k in texts]))
+        shared = keyed.groupBy("__digest", *rest).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+        keyed = keyed.join(shared, ["__digest", *rest], "left_semi")
+    return keyed.groupBy(*key).count().where("count > 1")
 
 
 def assert_unique(df: DataFrame, *key: str) -> None:

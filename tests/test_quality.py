@@ -115,3 +115,22 @@ def test_r3_null_cells_give_no_row(spark):
     assert rows_of(long) == [("a", "x", 1.0), ("a", "z", 2.5)]
     with pytest.raises(ValueError, match="Missing required"):
         unpivot_not_null(df, ["k"], "sector", "value", ["x", "nope"])
+
+
+def test_d5_digests_that_collide_are_told_apart(spark):
+    rows = [("a", 1), ("b", 1), ("a", 1), ("c", 2), (None, 1), (None, 1), ("c", 3), ("", 0), ("", 0)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    for digest in (F.xxhash64, lambda *c: F.lit(7)):  # the second gives every key the same digest
+        assert rows_of(duplicate_keys(df, "k", digest=digest)) == [("", 2), ("a", 2), ("c", 2)]
+        assert rows_of(duplicate_keys(df, "k", "n", digest=digest)) == [("", 0, 2), ("a", 1, 2)]
+    assert rows_of(duplicate_keys(df, "n")) == [(0, 2), (1, 5)]
+    assert duplicate_keys(df.limit(0), "k").collect() == []
+
+
+def test_d5_whole_texts_are_not_shuffled(spark, tmp_path):
+    spark.createDataFrame([(f"{i % 900} " + "long text " * 50,) for i in range(1000)], "t string").write.parquet(str(tmp_path / "t"))
+    found = duplicate_keys(spark.read.parquet(str(tmp_path / "t")), "t")
+    assert found.count() == 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The one side that is counted by digest, and the duplicates that are left.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -102,6 +102,12 @@ def test_c9_c11_points(spark):
     ("GEOMETRYCOLLECTION (POINT (1 2), POINT EMPTY, POLYGON ((0 0, 1 1, 0 0)))", "GEOMETRYCOLLECTION",
      [[[(1.0, 2.0)]], [[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]]),
     ("GEOMETRYCOLLECTION EMPTY", "GEOMETRYCOLLECTION", []),
+    ("GEOMETRYCOLLECTION (GEOMETRYCOLLECTION (POINT (1 2), MULTIPOLYGON (((0 0, 1 1)), ((2 2, 3 3)))), POINT (5 6))",
+     "GEOMETRYCOLLECTION", [[[(1.0, 2.0)]], [[(0.0, 0.0), (1.0, 1.0)]], [[(2.0, 2.0), (3.0, 3.0)]], [[(5.0, 6.0)]]]),
+    ("GEOMETRYCOLLECTION (MULTIPOINT ((1 2), (3 4)), GEOMETRYCOLLECTION EMPTY)", "GEOMETRYCOLLECTION", [[[(1.0, 2.0), (3.0, 4.0)]]]),
+    ("GEOMETRYCOLLECTION (POINT EMPTY)", "GEOMETRYCOLLECTION", []),
+    ("POLYGONZM ((0 0 1 1,\n\t4 0 1 1), (1 1 0 0))", "POLYGONZM", [[[(0.0, 0.0), (4.0, 0.0)], [(1.0, 1.0)]]]),
+    ("multilinestring m ((0 0 1), (2 2 1))", "MULTILINESTRING M", [[[(0.0, 0.0)], [(2.0, 2.0)]]]),
 ])
 def test_c10_wkt(spark, text, kind, parts):
     geom = spark.createDataFrame([(text,)], "t string").select(parse_wkt("t").alias("g")).first()["g"]
@@ -110,11 +116,32 @@ def test_c10_wkt(spark, text, kind, parts):
 
 
 def test_c10_text_that_is_no_geometry(spark):
-    df = spark.createDataFrame([(None,), ("",), ("no geometry",)], "t string")
-    assert [r[0] for r in df.select(parse_wkt("t")).collect()] == [None, None, None]
+    df = spark.createDataFrame([(None,), ("",), ("no geometry",), ("POINT 1 2)",), ("EMPTY POINT",)], "t string")
+    assert [r[0] for r in df.select(parse_wkt("t")).collect()] == [None] * 5
     assert df.select(first_point(parse_wkt("t"))).first()[0] is None
 
 
+@pytest.mark.parametrize("text", [
+    "POINT (1)", "POINT (1 x)", "POINT (1 2", "POINT (1 2))", "POLYGON (0 0, 1 1)", "POINT ((1 2))",
+    "LINESTRING (1 2,, 3 4)", "LINESTRING (1 2,)", "LINESTRING ()", "POLYGON ((0 0, 1 1) (2 2, 3 3))", "POINT (1 2) (3 4)",
+    "MULTIPOLYGON ((0 0, 1 1))", "POINT (1 2), POINT (3 4)", "(1 2)", "POINT (1-2 3)", "POINT (nan 2)", "POINT (1 2) EMPTY",
+])
+def test_c10_malformed_text_has_null_parts(spark, text):
+    geom = spark.createDataFrame([(text,)], "t string").select(parse_wkt("t").alias("g")).first()["g"]
+    assert geom["parts"] is None
+
+
+def test_c10_texts_of_a_batch_do_not_meet(spark):
+    texts = ["POINT (1 2)", "1 2", None, "POINT (3", "4 5)", "", "POLYGON ((0 0, 1 1), (2 2, 3 3))", "x", "POINT EMPTY", "POINT (6 7)"] * 40
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(parse_wkt("t")).collect()]
+    alone = [spark.createDataFrame([(t,)], "t string").select(parse_wkt("t")).first()[0] for t in texts[:10]]
+    assert got == alone * 40
+    long = "MULTIPOLYGON (" + ", ".join(f"(({i} 0, 1 {i}), (2 2, 3 3))" for i in range(20000)) + ")"
+    parts = spark.createDataFrame([(long,)], "t string").select(parse_wkt("t").alias("g")).first()["g"]["parts"]
+    assert len(parts) == 20000 and [tuple(p) for p in parts[-1][0]] == [(19999.0, 0.0), (1.0, 19999.0)]
+    assert spark.createDataFrame([], "t string").select(parse_wkt("t")).collect() == []
+
+
 def test_c14_certificate_type():
     assert require_certificate_type("non-domestic") == "non-domestic"
     with pytest.raises(ValueError, match="Invalid cert_type"):
