@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 import unicodedata
 from functools import lru_cache
@@ -49,49 +50,66 @@ class WordBpe:
             spec = json.load(file)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.suffix = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.vocab | self.special).items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.bytes = byte_symbols()
-        self.cache: dict[str, tuple[str, str]] = {}
+        # Symbols are numbers: a token's id, or one above all ids for a symbol without one.
+        symbols = [c + end for end in ("", self.suffix) for c in byte_symbols()]
+        beyond = itertools.count(max(self.strings, default=0) + 1)
+        number = self.vocab | {c: next(beyond) for c in dict.fromkeys(symbols) if c not in self.vocab}
+        self.inner, self.final = [number[c] for c in symbols[:256]], [number[c] for c in symbols[256:]]
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.ranks = {number[a] << 32 | number[b]: rank for rank, (a, b) in enumerate(pairs) if a in number and b in number}
+        self.merged = [number[a + b] if a + b in number else next(beyond) for a, b in pairs]
+        self.known: dict[str, tuple[str, str]] = {}
+        self.former: dict[str, tuple[str, str]] = {}
         self.cache_words = cache_words
 
-    def merge(self, symbols: list[str]) -> list[str]:
-        """Symbols of one word after all merges."""
-        ranks, n = self.ranks, len(symbols)
+    def merge(self, parts: list[int]) -> list[int]:
+        """Symbols of one word after all merges.  An entry of the heap is rank << 32 | place."""
+        rank_of, merged, n = self.ranks.get, self.merged, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := ranks.get((symbols[i], symbols[i + 1]))) is not None]
+        heap = [r << 32 | i for i in range(n - 1) if (r := rank_of(parts[i] << 32 | parts[i + 1])) is not None]
         heapq.heapify(heap)
-        parts: list[str | None] = list(symbols)
         while heap:
-            rank, i = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] is None or j >= n or ranks.get((parts[i], parts[j])) != rank:
+            entry = heapq.heappop(heap)
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            j, left = after[i], parts[i]
+            if left < 0 or j >= n or rank_of(left << 32 | parts[j]) != rank:
                 continue  # stale
-            parts[i], parts[j] = parts[i] + parts[j], None
+            parts[i] = left = merged[rank]
+            parts[j] = -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := ranks.get((parts[i], parts[k]))) is not None:
-                    heapq.heappush(heap, (r, i))
-            if (h := before[i]) >= 0 and (r := ranks.get((parts[h], parts[i]))) is not None:
-                heapq.heappush(heap, (r, h))
-        return [p for p in parts if p is not None]
-
-    def _words(self, chunk: str) -> tuple[str, str]:
-        """Ids and strings, each joined by blanks, of a run without white space."""
-        tokens: list[str] = []
-        for word in WORD.findall(chunk):
-            symbols = [self.bytes[b] for b in word.encode("utf-8", "surrogatepass")]
-            symbols[-1] += self.suffix
-            tokens += [t for t in self.merge(symbols) if t in self.vocab]
-        if len(self.cache) >= self.cache_words:
-            self.cache.clear()
-        found = " ".join([str(self.vocab[t]) for t in tokens]), " ".join(tokens)
-        self.cache[chunk] = found
+                if (r := rank_of(left << 32 | parts[k])) is not None:
+                    heapq.heappush(heap, r << 32 | i)
+            if (h := before[i]) >= 0 and (r := rank_of(parts[h] << 32 | left)) is not None:
+                heapq.heappush(heap, r << 32 | h)
+        return [p for p in parts if p >= 0]
+
+    def _word(self, word: str) -> tuple[str, str]:
+        """Ids and strings, each joined by blanks, of one word of the pattern."""
+        code = word.encode("utf-8", "surrogatepass")
+        parts = [self.inner[b] for b in code]
+        parts[-1] = self.final[code[-1]]
+        ids = [i for i in self.merge(parts) if i in self.strings]
+        return " ".join(map(str, ids)), " ".join([self.strings[i] for i in ids])
+
+    def _words(self, run: str) -> tuple[str, str]:
+        """The same of a run without white space; runs and the words in them are remembered."""
+        found = self.former.get(run)
+        if found is None:
+            words = [run] if run.isalpha() and run.isascii() else WORD.findall(run)
+            if len(words) == 1:
+                found = self._word(words[0])
+            else:
+                each = [self.known.get(w) or self._words(w) for w in words]
+                found = " ".join([a for a, _ in each if a]), " ".join([b for a, b in each if a])
+        if len(self.known) >= self.cache_words:
+            self.known, self.former = {}, self.known  # what was not asked for of late goes
+        self.known[run] = found
         return found
 
     def _piece(self, text: str) -> list[tuple[str, str]]:
@@ -100,8 +118,8 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         chunks = [c for c in _WHITE_RUN.split(text) if c] if _SPLIT_DIFFERS.search(text) else text.split()
-        known, make = self.cache.get, self._words
-        return [known(c) or make(c) for c in chunks]
+        make = self._words
+        return [self.known.get(c) or make(c) for c in chunks]
 
     def encode(self, text: str | None) -> tuple[str, str]:
         """Decimal ids and token strings of a text, each joined by one blank."""
