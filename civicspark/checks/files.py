@@ -16,7 +16,9 @@ from civicspark.operators.filters import in_codes
 from civicspark.plans.emissions import tenure_wide
 from civicspark.schemas import DOMESTIC_CERTIFICATES
 from civicspark.session import scratch_path
-from civicspark.sources.archives import only_csv_under_data, read_zipped_csv, store_of
+from civicspark.sources.archives import (
+    only_csv_under_data, read_staged_csv, read_zipped_csv, store_of,
+)
 from civicspark.sources.files import (
     read_certificate_pages, read_csv, read_csv_inferred, read_csv_lenient, read_feature_layers,
     read_features, read_geojson, read_landed_csv, read_parquet,
@@ -305,3 +307,29 @@ def zipped_data_folder(spark, sf_dir):
     _land_archives(customers, "Data/customers.csv", "c_custkey", folder)
     archives = read_zipped_csv(spark, folder, customers.schema, only_csv_under_data)
     return archives.drop("source_file")
+
+
+@check("zipped_staged", """
+SELECT doc_id, nullif(text, '') AS text, lang, n_chars FROM {documents}
+""")
+def zipped_staged(spark, sf_dir):
+    """Whole texts through the stage of archives; the second read finds all of them there."""
+    folder, stage = scratch_path(spark, "zips"), scratch_path(spark, "stage")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    _land_archives(documents, "certificates.csv", "doc_id", folder)
+    for _ in range(2):
+        rows = read_staged_csv(spark, folder, stage, documents.schema)
+    return rows.drop("source_file")
+
+
+@check("zipped_data_staged", """
+SELECT c_custkey, c_name, cast(c_acctbal AS decimal(10,2)) AS c_acctbal FROM {customer}
+""", doubles=["c_acctbal"])
+def zipped_data_staged(spark, sf_dir):
+    """The single CSV under ``Data/`` of each archive, staged and typed strictly."""
+    folder, stage = scratch_path(spark, "zips"), scratch_path(spark, "stage")
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.col("c_acctbal").cast("decimal(10,2)").alias("c_acctbal")
+    )
+    _land_archives(customers, "Data/customers.csv", "c_custkey", folder)
+    return read_staged_csv(spark, folder, stage, customers.schema, only_csv_under_data).drop("source_file")

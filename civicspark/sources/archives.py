@@ -11,17 +11,19 @@ from __future__ import annotations
 import posixpath
 import sys
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyarrow import csv, fs
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicspark.operators.quality import cast_to_schema
+from civicspark.session import cut_lineage
 
 BATCH_ROWS = 20_000
 #: Bytes of a member parsed at a time.  A longer record fails the job; pass a larger block.
@@ -74,16 +76,20 @@ def _text_batches(
         member = choose(archive.namelist())
         if member is None or archive.getinfo(member).file_size == 0:
             return
-        with archive.open(member) as raw:
-            yield from csv.open_csv(
-                raw,
-                csv.ReadOptions(use_threads=False, block_size=block_bytes),
-                csv.ParseOptions(newlines_in_values=True),
-                csv.ConvertOptions(
-                    column_types=dict.fromkeys(columns, pa.string()), include_columns=columns,
-                    null_values=[""], strings_can_be_null=True,
-                ),
-            )
+        try:
+            with archive.open(member) as raw:
+                yield from csv.open_csv(
+                    raw,
+                    csv.ReadOptions(use_threads=False, block_size=block_bytes),
+                    csv.ParseOptions(newlines_in_values=True),
+                    csv.ConvertOptions(
+                        column_types=dict.fromkeys(columns, pa.string()), include_columns=columns,
+                        null_values=[""], strings_can_be_null=True,
+                    ),
+                )
+        except (pa.ArrowInvalid, pa.ArrowKeyError) as error:
+            # A record longer than a block, a ragged line, a missing column: say where.
+            raise ValueError(f"{member} of {path}: {error}") from error
 
 
 def _archive_reader(
@@ -175,5 +181,88 @@ def read_zipped_csv(
     return _cast_or_fail(rows, typed) if strict else cast_to_schema(rows, typed)
 
 
+_ARCHIVE = "__archive"
+
+
+def _versions(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """Every landed archive with a digest of its path, length and time; no archive is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    version = F.sha2(F.concat_ws("|", "path", "length", F.col("modificationTime").cast("double")), 256)
+    return listed.select("path", F.substring(version, 1, 32).alias(_ARCHIVE))
+
+
+def stage_archives(
+    spark: SparkSession,
+    folder: str,
+    stage: str,
+    columns: Sequence[str],
+    choose: Callable[[list[str]], str | None] = certificates_member,
+    glob: str = "*.zip",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Write the members of archives not staged yet as Parquet; returns what has landed.
+
+    A staged archive is known by its path, length and time, so one that was replaced is read
+    again and an unchanged one is never opened twice.  Its text rows are a partition of
+    ``stage/rows``; only when they are written is it listed in ``stage/archives``, and a run that
+    died before is repeated over its own files.  Archives without the member are listed too.
+    """
+    names, rows_at, list_at = list(columns), f"{stage.rstrip('/')}/rows", f"{stage.rstrip('/')}/archives"
+    landed = cut_lineage(_versions(spark, folder, glob))  # one listing for all that follows
+    try:
+        staged = spark.read.parquet(list_at)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        staged = spark.createDataFrame([], landed.schema)
+    new = landed.join(staged.select(_ARCHIVE).distinct(), _ARCHIVE, "left_anti").select("path", _ARCHIVE)
+    n = new.count()
+    if n:
+
+        def read_new(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for path, version in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    stem = posixpath.basename(path).rsplit(".", 1)[0]
+                    for block in _text_batches(path, names, choose, block_bytes):
+                        for start in range(0, len(block), BATCH_ROWS):
+                            rows = block.slice(start, BATCH_ROWS)
+                            ends = [pa.array([x] * len(rows), pa.string()) for x in (stem, version)]
+                            yield pa.RecordBatch.from_arrays([ends[0], *rows.columns, ends[1]], names=["source_file", *names, _ARCHIVE])
+
+        text = T.StructType([T.StructField(c, T.StringType()) for c in ("source_file", *names, _ARCHIVE)])
+        # An explicit number of partitions, so that few paths are not put together into one task.
+        (new.repartition(n, "path").mapInArrow(read_new, text).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(_ARCHIVE).parquet(rows_at))
+        new.write.mode("append").parquet(list_at)
+    return landed
+
+
+def read_staged_csv(
+    spark: SparkSession,
+    folder: str,
+    stage: str,
+    schema: T.StructType,
+    choose: Callable[[list[str]], str | None] = certificates_member,
+    glob: str = "*.zip",
+    strict: bool = True,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """As :func:`read_zipped_csv`, from members staged as Parquet that Spark can split.
+
+    Rows of archives that are gone or were replaced stay in the stage but are not read.  A value
+    that does not fit its type fails the job, or becomes NULL with ``strict=False``.
+    """
+    landed = stage_archives(spark, folder, stage, schema.fieldNames(), choose, glob, block_bytes)
+    typed = T.StructType([T.StructField("source_file", T.StringType()), *schema.fields])
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in typed.fields] + [T.StructField(_ARCHIVE, T.StringType())])
+    try:
+        rows = spark.read.schema(text).parquet(f"{stage.rstrip('/')}/rows").join(landed.select(_ARCHIVE), _ARCHIVE, "left_semi")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], text)
+    return _cast_or_fail(rows, typed) if strict else cast_to_schema(rows, typed)
+
+
 # Workers get these functions with their code, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
