@@ -37,17 +37,21 @@ def distinct_by_key(
     """One row per key, the first in the given order.
 
     Without an order, or where it ties, the remaining columns decide, so the survivor
-    does not depend on partitioning.  NULL counts as a key value.  The ``= 1`` on a row
-    number makes Spark keep one row per key in each map task already, so a key that holds
-    a large share of the rows never gathers in one task.
+    does not depend on partitioning.  NULL counts as a key value.  Without an order the
+    survivor is a combined minimum of the remaining columns as one struct, so nothing is sorted
+    by them.  With one, the ``= 1`` on a row number makes Spark keep one row per key in each map
+    task already.  Either way a key that holds a large share of the rows never gathers in one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     require_columns(df, keys)
-    sortable = [
-        F.col(f"`{f.name}`")
-        for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
+    named = {k.lower() for k in keys}
+    rest = [f for f in df.schema.fields if f.name.lower() not in named]
+    sortable = [F.col(f"`{f.name}`") for f in rest if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    if not order and rest and len(sortable) == len(rest):
+        least = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(F.struct(*sortable)).alias("__row"))
+        return least.select([
+            F.col(f"`{c}`") if c.lower() in named else F.col(f"__row.`{c}`") for c in df.columns
+        ])
     window = Window.partitionBy(*keys).orderBy(*order, *(sortable or keys))
     return df.withColumn("__nth", F.row_number().over(window)).where("__nth = 1").drop("__nth")
 

@@ -134,3 +134,18 @@ def test_d5_whole_texts_are_not_shuffled(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     # The one side that is counted by digest, and the duplicates that are left.
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_d2_without_an_order_nothing_is_sorted_by_the_rest(spark):
+    rows = [("hot", i % 50, None if i % 7 else "x") for i in range(3000)] + [(None, 3, "b"), (None, None, "c"), ("k", 1, None)]
+    df = spark.createDataFrame(rows, "k string, n int, v string")
+    found = distinct_by_key(df.repartition(8), "k")
+    assert found.schema == df.schema
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert "partial_min" in plan.split("Exchange hashpartitioning")[-1]  # one row a key and task is shuffled
+    want = [("hot", 0, None), ("k", 1, None), (None, None, "c")]
+    for shuffled in (df, df.orderBy(F.rand(3)).repartition(5)):
+        assert rows_of(distinct_by_key(shuffled, "k")) == sorted(want, key=repr)
+    odd = df.withColumn("m", F.create_map(F.lit("a"), F.col("n")))
+    assert rows_of(distinct_by_key(odd, "k").drop("m")) == sorted(want, key=repr)
