@@ -129,11 +129,15 @@ def plain_number(value: Column | str) -> Column:
     size, exact = F.abs(value), value.cast("string")
     power = F.regexp_extract(exact, r"E(-?[0-9]+)$", 1).try_cast("int")
     mantissa = F.regexp_replace(F.regexp_extract(exact, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
-    outside = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    far = F.abs(power)
+    digits = F.when(far < 10, F.concat(F.lit("0"), far)).otherwise(far.cast("string"))
+    outside = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), digits)
+    # Within these bounds 20 places hold every digit.
+    places = F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), "0+$", "")
     return (
         F.when(~exact.contains("E"), exact)
         .when((size >= 1e16) | (size < 1e-4), outside)
-        .otherwise(unscientific(value)))
+        .otherwise(F.regexp_replace(places, r"\.$", ".0")))
 
 
 def point_label(lat: Column | str, long: Column | str) -> Column:

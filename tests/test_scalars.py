@@ -5,10 +5,10 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from civicspark.functions.geometry import first_point, make_point, parse_wkt, point_text
+from civicspark.functions.geometry import first_point, make_point, number_text, parse_wkt, point_text
 from civicspark.functions.scalars import (
     clean_tenure, concat_nulls_empty, construction_epoch, date_parts, half_up_int,
-    nominal_construction_year, point_label, require_certificate_type,
+    nominal_construction_year, plain_number, point_label, require_certificate_type,
 )
 from civicspark.operators.filters import (
     Box, differs, equals, flag_matching, in_box, in_codes, in_codes_of_first_column, in_months,
@@ -69,6 +69,17 @@ def test_c8_null_counts_as_empty(spark):
     assert df.select(concat_nulls_empty(F.lit(None), F.lit("a"))).first()[0] == "a"
 
 
+def test_c8_numbers_in_plain_notation(spark):
+    values = [1e-4, 1.2345678901234567e-4, 9.999e-4, 6.27e-5, 0.001, 12345678.75, 1e7, -3.3e15, 1.5e16, 9007199254740993.0, 1e22, 2.5e-310, 1e-9, 0.0, -0.5, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    # Python prints doubles by the same rule: the shortest digits, plain from 1e-4 to 1e16.
+    want = [None if v is None else repr(v) for v in values]
+    assert [r[0] for r in df.select(plain_number("v")).collect()] == want
+    tiny = spark.createDataFrame([(6.27e-5,), (-1.5e-9,), (1e22,), (-2.5e17,), (3.0,)], "v double")
+    assert [r[0] for r in tiny.select(number_text(F.col("v"))).collect()] == [
+        "0.0000627", "-0.0000000015", "1" + "0" * 22, "-25" + "0" * 16, "3"]
+
+
 def test_c9_c11_points(spark):
     df = spark.createDataFrame(
         [(1, -2.0, 51.4545), (2, 0.0, 1e-5), (3, None, 5.0), (4, -3.3089999999999997, 350000.0)],
