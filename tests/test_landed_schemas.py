@@ -1,10 +1,12 @@
 """Stored schemas, drift by column, run counts, stable samples and partitioned certificates."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from civicspark.checks import whole_runs
 from civicspark.operators.sets import stable_rows
 from civicspark.plans import etl
 from civicspark.plans.etl import extract_all, run_full_etl
@@ -121,3 +123,14 @@ def test_regional_reads_open_their_own_folders_only(spark, lookup, tmp_path):
     assert "dynamicpruning" in regional._jdf.queryExecution().executedPlan().toString().lower()
     assert {r["LOCAL_AUTHORITY"] for r in regional.collect()} == {"E06000023", "E06000025"}
     assert etl.TABLE_PARTITIONS.keys() <= etl.TABLE_KEYS.keys()
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables here")
+def test_regional_views_of_a_build_prune_the_certificates(spark):
+    """The row side of the latest-per-property join is pruned by authority, its maximum is not."""
+    built = whole_runs._full_build(spark, "/root/testdata/sf0.001")
+    for view in ("epc_domestic_lep_vw", "epc_non_domestic_vw"):
+        plan = built.views.views[view]._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "LOCAL_AUTHORITY" in line]
+        pruned = ["dynamicpruningexpression(LOCAL_AUTHORITY" in line for line in scans]
+        assert sorted(pruned) == [False, True], scans
