@@ -5,7 +5,9 @@ the lowest rank is merged first, the leftmost of equal ones, and an entry whose
 changed since it was pushed is skipped.  Decoding concatenates vocabulary strings.
 
 A null or empty text has no tokens.  Every row gives one row; repeated rows stay repeated and
-null ids stay null.  The vocabulary file must describe what ``WordBpe`` implements: NFC, white
+null ids stay null; an empty table gives no rows.  Only the key and the text are read, so other
+columns may have any name.  A text of any length is encoded whole; words and runs met of late
+are remembered, up to a fixed number.  The vocabulary file must describe what ``WordBpe`` implements: NFC, white
 space to blanks, lower case, the word pattern, bytes as characters, a word-end suffix and no
 decoder (tokens are then joined by one blank).
 """
