@@ -5,12 +5,13 @@ Markov models of its characters, one of random strings and one of ordinary ident
 whose mean log-likelihood ratio per transition exceeds a threshold is a ``random`` span, unless
 it overlaps a base span.
 
-Both models are trained from labelled samples: random strings made from hashes, and words of
-the corpus, taken from the ``sample_texts`` distinct texts with the smallest hashes.  Nothing
-else is sampled: every text is scanned whole.
+Both models are trained from labelled samples: random strings made from hashes against words of
+the corpus, taken from the ``sample_texts`` distinct texts with the smallest hashes, and decimals,
+times, identifiers, UUIDs and paths with digits, made from hashes.  Nothing else is sampled: every
+text is scanned whole, in time that grows with its length and its number of spans.
 
 Null and empty texts have no spans.  Every row gives one row, repeated rows included; other
-columns are ignored.  On an empty table the ordinary model is uniform.
+columns, clashing names included, are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm.spans import SPAN, apart_from, joined, matches
+from civicspark.llm.spans import SPAN, apart_from, blocks, joined, let, matches, piece, rest, running
 
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 SAMPLE_TEXTS, RANDOM_STRINGS, SHORTEST, THRESHOLD = 2000, 3000, 20, 0.6
@@ -38,7 +39,7 @@ def base_spans(text: Column) -> Column:
     """Spans of the three fixed kinds by start, then kind."""
     assign = F.filter(matches(text, ASSIGN, "assign", 0), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
     access = matches(text, ACCESS, "access", 1, text.contains("AKIA"))
-    return F.array_sort(F.concat(assign, access, matches(text, HEX, "hex", 2)))
+    return F.sort_array(F.concat(assign, access, matches(text, HEX, "hex", 2)))
 
 
 def random_strings(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
@@ -50,12 +51,29 @@ def random_strings(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
 
 
 def ordinary_words(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
-    """Labelled sample of ordinary identifiers: words without digits of a bounded set of texts."""
+    """Labelled sample of ordinary identifiers: words without digits of a bounded set of texts, and paths of them."""
     hashed = docs.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h"))
     cut = hashed.select("h").distinct().orderBy("h").limit(sample_texts).agg(F.max("h")).first()[0]
     texts = hashed.where(F.col("h") <= F.lit(cut).cast("bigint")).dropDuplicates(["h"])
     words = F.regexp_extract_all("text", F.lit("(?<![A-Za-z0-9+/_-])[A-Za-z][A-Za-z_-]{2,}(?![A-Za-z0-9+/_-])"), 0)
-    return texts.select(F.explode(words).alias("value"))
+    return texts.select(words.alias("w")).select(F.explode(F.concat("w", F.array(F.array_join("w", "/")))).alias("value"))
+
+
+def ordinary_numbers(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
+    """Labelled sample of ordinary tokens with digits, made from hashes: decimals, times, identifiers, paths."""
+    number = F.conv(F.substring(F.sha2(F.col("id").cast("string"), 224), 1, 15), 16, 10)
+    made = spark.range(n).select(
+        "id", number.alias("number"), F.sha2(F.col("id").cast("string"), 384).alias("h"),
+        F.timestamp_seconds(F.pmod(F.hash("id"), F.lit(2_000_000_000))).alias("at"))
+    part = lambda first, n: F.substring("h", first, n)
+    digits = F.concat("number", F.reverse("number"))
+    return made.select(F.explode(F.array(
+        digits, digits, F.date_format("at", "yyyyMMddHHmmssSSSSSS"), F.date_format("at", "yyyy-MM-dd-HH-mm-ss"),
+        # Lower-case hexadecimal alone is random, so these are fewer.
+        F.when(F.col("id") % 4 < 3, F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("4"), part(14, 3)), part(17, 4), part(21, 12))),
+        F.concat(F.lit("order-item-"), F.substring("number", 1, 9), F.lit("-version-2")),
+        F.concat(F.lit("/home/user/data/"), F.date_format("at", "yyyy/MM/dd"), F.lit("/part-0000"), F.substring("number", 1, 2)),
+        F.concat(F.lit("INVOICE-"), F.date_format("at", "yyyyMMdd"), F.lit("-"), F.substring("number", 1, 8)))).alias("value")).where("value IS NOT NULL")
 
 
 def transition_counts(samples: DataFrame) -> dict[tuple[str, str], int]:
@@ -77,7 +95,8 @@ def log_ratios(random: dict, ordinary: dict, smooth: float = 0.5) -> list[float]
 
 
 def train(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> list[float]:
-    return log_ratios(transition_counts(random_strings(docs.sparkSession)), transition_counts(ordinary_words(docs, sample_texts)))
+    ordinary = ordinary_words(docs, sample_texts).unionByName(ordinary_numbers(docs.sparkSession))
+    return log_ratios(transition_counts(random_strings(docs.sparkSession)), transition_counts(ordinary))
 
 
 def mean_ratio(value: Column, ratios: list[float]) -> Column:
@@ -98,23 +117,24 @@ def scan(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) ->
     text = F.col("text")
     found = docs.withColumn("base", base_spans(text)).withColumn("_tokens", matches(text, TOKEN, "random", 3))
     random = F.filter(apart_from(F.col("_tokens"), F.col("base")), lambda s: mean_ratio(s["value"], ratios) > threshold)
-    return found.withColumn("secrets", F.array_sort(F.concat("base", random.cast(SPAN)))).drop("_tokens")
+    return found.withColumn("secrets", F.sort_array(F.concat("base", random.cast(SPAN)))).drop("_tokens")
 
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every secret replaced by its kind in brackets; overlaps are merged."""
 
-    def add(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        kept = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], kept, F.lit("["), s["kind"], F.lit("]"))).otherwise(state["out"]).alias("out"))
-
-    whole = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        kept = F.struct(at.alias("start"), s["start"].alias("end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("name"))
+        return F.greatest(at, s["end"]), F.when(s["start"] >= at, kept)
+
+    def filled(parts: Column) -> Column:
+        end = F.array(F.struct(F.lit(2**31 - 1).alias("start"), F.lit(2**31 - 1).alias("kind_no"), F.lit(2**31 - 1).alias("end"),
+                               F.lit("").alias("kind"), F.lit("").alias("value")))
+        gaps = running(F.concat(spans, end), F.lit(0), step, "struct<start:int,end:int,name:string>")
+        return F.array_join(F.transform(F.filter(gaps, lambda g: g.isNotNull()), lambda g: F.when(
+            g["end"] < 2**31 - 1, F.concat(piece(parts, g["start"], g["end"]), g["name"])).otherwise(rest(parts, g["start"]))), "")
+
+    return F.when(F.size(spans) > 0, let(blocks(text), filled)).otherwise(text)
 
 
 def secret_digests(docs: DataFrame, ratios: list[float]) -> DataFrame:
