@@ -4,13 +4,17 @@ Each page's containers are scored by the text they hold outside boilerplate.  Th
 best one, its tags with generalised classes, is the page's vote; votes are summed per host and
 path in Spark.  The path with the most pages and every other one that several pages of the host
 vote for, each a template, are kept; a page is extracted with the one of them that scores best on
-it.  A page on which none of them matches, or holds any text, uses its own best container.
+it.  A page on which none of them matches, or its own best container scores far better than all
+of them, uses that.
 
 Kept: the blocks of the container in page order.  Left out: menus, headers (but the headings of
 an article's own header), footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments, known by their tag, role or by words of their class and id.
+comments, known by their tag, role or by words of their class and id.  Such an element that holds
+most of the page's text outside links, and is named like main text too or leaves next to nothing
+without it, is the main text after all and is kept; what is boilerplate inside it is not.
 
-A null, empty or textless page has the empty text.  Pages without a host have no common template:
+Other columns of the pages are ignored, clashing names included.  An empty table gives an empty
+result.  A page of any length is read whole, in a few passes of linear time.  A null, empty or textless page has the empty text.  Pages without a host have no common template:
 each uses its own best container.  Equal scores go to the smallest path.  Rows come out as often
 as they come in.
 """
@@ -57,6 +61,17 @@ NOISE = frozenset(
 #: Words of a class or id that mark main text.
 MAIN = frozenset("article content main post entry story body text".split())
 
+#: Words of reader comments, which may well hold more text than the article.
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+#: Elements never looked into again, whatever they hold.
+EMPTY_OF_TEXT = frozenset("head select menu button iframe object svg math canvas audio video noscript template datalist".split())
+
+#: A container marked as noise holds the main text if it has more than half of the page's text
+#: outside links and this many times what is left without it.
+OUTWEIGHS = 10
+#: A page is extracted with its own best path if that scores this many times the best voted one.
+FAR_BETTER = 4
+
 #: A path that this many pages of a host vote for is one of its templates.
 SEVERAL = 2
 
@@ -122,6 +137,26 @@ def weight_of(tag: str, attrs: dict[str, str]) -> float:
     return 1.5 if words & MAIN else 1.0 if tag in ("html", "body") else 1.1
 
 
+class Suspect(NamedTuple):
+    """An element left out for its tag, role or words, and the characters outside links it holds."""
+
+    chars: int
+    main: bool  # one of its names is of main text alone
+    comments: bool
+
+
+def suspect(attrs: dict[str, str]) -> Suspect:
+    names = [{w.lower() for w in _WORDS.findall(name)} for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split()]
+    return Suspect(0, any(words and words <= MAIN for words in names), any(words & COMMENTS for words in names))
+
+
+def misjudged(suspects: list[Suspect], all_chars: int, kept_chars: int) -> frozenset[int]:
+    """The suspects that hold the main text: a word is one weight, the share of the text another."""
+    return frozenset(
+        k for k, s in enumerate(suspects)
+        if 2 * s.chars > all_chars and (s.main or (kept_chars == 0 if s.comments else OUTWEIGHS * kept_chars < s.chars)))
+
+
 class Block(NamedTuple):
     """A block of text, the serial numbers of its open containers, and its link characters."""
 
@@ -131,12 +166,32 @@ class Block(NamedTuple):
 
 
 def parse(html: str) -> tuple[list[Block], list[Node]]:
-    """Blocks of a page outside boilerplate in page order, and its containers."""
+    """Blocks of a page outside boilerplate in page order, and its containers.
+
+    An element that looks like boilerplate but holds the main text is gone through again as kept.
+    """
+    spared: frozenset[int] = frozenset()
+    while True:
+        blocks, found, suspects, all_chars = walk(html, spared)
+        more = spared | misjudged(suspects, all_chars, sum(len(b.text) - b.link for b in blocks))
+        if more == spared:
+            return blocks, found
+        spared = more
+
+
+def walk(html: str, spared: frozenset[int]) -> tuple[list[Block], list[Node], list[Suspect], int]:
+    """Blocks and containers, what was left out, and the characters outside links of all that is text.
+
+    Elements left out count in page order; those of the numbers ``spared`` are kept.
+    """
     stack: list[Node] = []
     opened: list[int] = []  # serial numbers of open containers
     marks: list[int] = []  # for each stack entry its serial number, or -1
     tags: Counter[str] = Counter()  # of the stack
     out = [0, 0, 0]  # open elements by how they are dropped
+    suspects: list[Suspect] = []
+    since: list[tuple[int, int]] = []  # of each stack entry: its number as a suspect or -1, characters before it
+    chars = no_text = 0  # characters outside links so far; open elements without text
     found: list[Node] = []
     blocks: list[Block] = []
     words: list[str] = []
@@ -156,17 +211,25 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
         link_chars = 0
 
     def pop():
+        nonlocal no_text
         node, serial = stack.pop(), marks.pop()
         out[node.dropped] -= 1
         tags[node.tag] -= 1
         if serial >= 0:
             opened.pop()
+        number, before = since.pop()
+        no_text -= node.tag in EMPTY_OF_TEXT
+        if number >= 0:
+            suspects[number] = suspects[number]._replace(chars=chars - before)
 
     at, last = 0, html.rfind(">") + 1
     for m in _TOKEN.finditer(html, 0, last):
-        if m.start() > at and kept():
-            words.append(html[at : m.start()])
-            link_chars += in_link * (m.start() - at)
+        if m.start() > at:
+            if not in_link and not no_text:
+                chars += len(" ".join(html[at : m.start()].split()))
+            if kept():
+                words.append(html[at : m.start()])
+                link_chars += in_link * (m.start() - at)
         at = m.end()
         if not m["tag"]:
             if m[0].startswith("<![CDATA[") and kept():
@@ -194,8 +257,12 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
         if tag in VOID or m["attrs"].endswith("/") and not holds or not (holds or tag in DROPPED or attrs):
             continue
         in_main = any(found[k].weight >= 1.5 for k in opened)
-        drop = how_dropped(tag, attrs, in_main)
-        if not holds and not drop:
+        drop, number = how_dropped(tag, attrs, in_main), -1
+        if drop == 2 and tag not in EMPTY_OF_TEXT and "hidden" not in attrs and attrs.get("aria-hidden", "").lower() != "true":
+            number = len(suspects)
+            suspects.append(suspect(attrs))
+            drop = 0 if number in spared else drop
+        if not holds and not drop and number < 0:
             continue
         serial, path = -1, stack[-1].path if stack else ""
         if holds and not drop and not out[1] and not out[2] and len(opened) < DEEPEST:
@@ -205,12 +272,17 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
             opened.append(serial)
         stack.append(Node(tag, path, drop, 0.0))
         marks.append(serial)
+        since.append((number, chars))
+        no_text += tag in EMPTY_OF_TEXT
         tags[tag] += 1
         out[drop] += 1
+    chars += 0 if in_link or no_text else len(" ".join(html[at:].split()))
     if kept():
         words.append(html[at:])
     close_block()
-    return blocks, found
+    while stack:
+        pop()
+    return blocks, found, suspects, chars
 
 
 def scored(blocks: list[Block], containers: list[Node]) -> dict[str, float]:
@@ -226,10 +298,10 @@ def scored(blocks: list[Block], containers: list[Node]) -> dict[str, float]:
 
 
 def text_at(blocks: list[Block], containers: list[Node], paths: Collection[str] | None) -> str:
-    """Blocks inside the containers of the path that scores best, among ``paths`` if any of them holds text."""
+    """Blocks inside the containers of the path that scores best, among ``paths`` unless another is far better."""
     scores = scored(blocks, containers)
     voted = {p: scores[p] for p in paths or () if p in scores}
-    if voted and (max(voted.values()) > 0 or not any(scores.values())):
+    if voted and FAR_BETTER * max(voted.values()) >= max(scores.values()):
         scores = voted
     path = min(scores, key=lambda p: (-scores[p], p)) if scores else None
     wanted = {k for k, n in enumerate(containers) if n.path == path}
