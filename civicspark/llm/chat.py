@@ -8,7 +8,8 @@ the prefix sum of +1 where an assistant's content begins and -1 where it ends.
 A null text is empty, a null role is the empty role.  Turns of one conversation are ordered by
 turn (nulls first), then role and text, so repeated rows stay and ties have one order.  Turns
 are encoded where they are read; a conversation's turns meet sorted in one stream that keeps a
-running digest only, so its length does not matter for memory.
+running digest only, so its length does not matter for memory.  Other columns are ignored, clashing
+names included.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -76,14 +77,16 @@ def assemble(role_ids: list[int], text_ids: list[int], assistant: bool, reserved
 def render(ids: np.ndarray, mask: np.ndarray, tok, reserved: Reserved) -> tuple[str, str, str, str]:
     """Formatted text of a turn and, read back from the ids: role, text, text under the mask."""
     role_end = int(np.flatnonzero(ids == reserved.role_end)[0])
+    content, masked = ids[role_end + 1 : -1], ids[mask]
     role = tok.decode(ids[1:role_end].tolist(), skip_special_tokens=False)
-    text = tok.decode(ids[role_end + 1 : -1].tolist(), skip_special_tokens=False)
-    loss = tok.decode(ids[mask].tolist(), skip_special_tokens=False)
-    return f"{HEAD}{role}: {text}{TURN_END}", unescape(role), unescape(text), unescape(loss)
+    text = tok.decode(content.tolist(), skip_special_tokens=False)
+    loss = "" if not len(masked) else text if np.array_equal(masked, content) else tok.decode(masked.tolist(), skip_special_tokens=False)
+    plain = unescape(text)
+    return f"{HEAD}{role}: {text}{TURN_END}", unescape(role), plain, plain if loss is text else unescape(loss)
 
 
-def format_turns(turns: DataFrame, vocabulary: str) -> DataFrame:
-    """One row per turn: token ids, loss mask and formatted text, beside conv_id and turn."""
+def format_turns(turns: DataFrame, vocabulary: str, shown: bool = True) -> DataFrame:
+    """One row per turn: token ids, loss mask and, if wanted, formatted text, beside conv_id and turn."""
     ship(turns.sparkSession)
 
     def run(batches):
@@ -93,16 +96,18 @@ def format_turns(turns: DataFrame, vocabulary: str) -> DataFrame:
             roles = [r or "" for r in batch.column(2).to_pylist()]
             texts = [t or "" for t in batch.column(3).to_pylist()]
             role_ids = {r: tok.encode(escape(r), add_special_tokens=False).ids for r in set(roles)}
-            coded = tok.encode_batch([escape(t) for t in texts], add_special_tokens=False)
-            ids, masks, shown = [], [], []
-            for role, code in zip(roles, coded, strict=True):
-                i, m = assemble(role_ids[role], code.ids, role == "assistant", reserved)
+            distinct = list(dict.fromkeys(texts))
+            coded = tok.encode_batch([escape(t) for t in distinct], add_special_tokens=False)
+            text_ids = {t: code.ids for t, code in zip(distinct, coded, strict=True)}
+            ids, masks, formatted = [], [], []
+            for role, text in zip(roles, texts, strict=True):
+                i, m = assemble(role_ids[role], text_ids[text], role == "assistant", reserved)
                 ids.append(i.tobytes())
                 masks.append(np.packbits(m).tobytes())
-                shown.append(render(i, m, tok, reserved)[0])
+                formatted.append(render(i, m, tok, reserved)[0] if shown else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(roles, pa.string()), pa.array(texts, pa.string()),
-                 pa.array(ids, pa.binary()), pa.array(masks, pa.binary()), pa.array(shown, pa.string())],
+                 pa.array(ids, pa.binary()), pa.array(masks, pa.binary()), pa.array(formatted, pa.string())],
                 names=["conv_id", "turn", "role", "text", "ids", "mask", "formatted"],
             )
 
@@ -115,7 +120,7 @@ def format_turns(turns: DataFrame, vocabulary: str) -> DataFrame:
 
 def conversation_digests(turns: DataFrame, vocabulary: str) -> DataFrame:
     """Per conversation, read back from the token ids: turns, loss text and formatted length."""
-    coded = format_turns(turns, vocabulary)
+    coded = format_turns(turns, vocabulary, shown=False)
     # The order of ties is settled by role and text, then only the ids travel on.
     ordered = coded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]

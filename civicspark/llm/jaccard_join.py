@@ -437,14 +437,50 @@ def verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: F
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def apart(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The documents with a number of its own, above all ids, for each row of a repeated id, and those
+    rows' numbers and ids (node, id); None if no id is repeated.  Ids are below 2**62 in size."""
+    repeated = pinned(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    n = repeated.count()
+    if not n:
+        return None
+    top = docs.agg(F.max(F.col("doc_id").cast("bigint"))).first()[0]
+    numbered = pinned(
+        join_small(docs, repeated, ["doc_id"], "left_semi", n, COPIED)
+        .select(F.col("doc_id").cast("bigint").alias("id"), "text", (F.lit(top + 1) + F.monotonically_increasing_id()).alias("node")), "numbered-rows")
+    others = join_small(docs, repeated, ["doc_id"], "left_anti", n, COPIED).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return others.unionByName(numbered.select(F.col("node").alias("doc_id"), "text")), numbered.select("node", "id")
+
+
 def join(docs: DataFrame, threshold: Fraction = Fraction(3, 4)) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+    """doc_id, n_shingles and component_id of every row.
+
+    Rows of one id are one document.  Where an id is repeated its rows are joined as documents of
+    their own first, so that each of its texts finds its links, and then made one.
+    """
+    docs = docs.select("doc_id", "text")
+    separate = apart(docs)
+    if separate is None:
+        return join_texts(docs, threshold)
+    rows, numbers = separate
+    found = pinned(join_texts(rows, threshold), "text-components")
+    n = numbers.count()
+    one = numbers.select(F.col("node").alias("doc_id"), "id")
+    two = numbers.select(F.col("node").alias("component_id"), F.col("id").alias("to"))
+    named = join_small(join_small(found, one, ["doc_id"], "left", n, COPIED), two, ["component_id"], "left", n, COPIED)
+    named = pinned(named.select(F.coalesce("id", "doc_id").alias("id"), "n_shingles", F.coalesce("to", "component_id").alias("to")), "named-components")
+    roots = connected_components(named.where("id IS NOT NULL").select(F.col("id").alias("a"), F.col("to").alias("b")))
+    return named.drop("to").join(roots, "id", "left").select(
+        F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def join_texts(docs: DataFrame, threshold: Fraction) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, where no id stands on rows of different texts."""
     described = describe(docs)
     sets = described.where("kind = 0").select("id", "n", "a", "b")
     hot, counts = known_frequencies(described)
     named = sets.where("id IS NOT NULL AND n > 0")
     classes = named.groupBy("a", "b", "n").agg(F.min("id").alias("rep"))
-    # An id may stand on several rows; then its rows' classes are one document's.
     members = pinned(named.join(classes, ["a", "b", "n"]).select("id", "rep", "n").distinct(), "set-classes")
     copies = members.where("id <> rep").select(F.col("id").alias("doc_id")).distinct()
     base = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")

@@ -143,3 +143,13 @@ def test_tiles_find_what_sketches_allow(monkeypatch, few, sides):
         and 4 * n[a] >= 3 * n[b] and 4 * n[b] >= 3 * n[a]
         and 7 * int(np.bitwise_count(bits[a] ^ bits[b]).sum()) <= n[a] + n[b]}
     assert want and sorted((max(p), min(p)) for p in zip(x, y, strict=True)) == sorted(want)
+
+
+def test_texts_of_a_repeated_id_find_their_links(spark):
+    """Each of several texts of an id is joined, and its rows are one document."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (3, a), (9, f"{b} more"), (7, c), (7, c), (8, f"{c} more"), (1, "lone text of six words here"), (None, a), (6, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id bigint, text string, node int, id int")
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jj.join(docs).collect())
+    assert got == sorted([("5", 56, 3), ("5", 56, 3), ("3", 56, 3), ("9", 57, 3), ("7", 56, 7), ("7", 56, 7), ("8", 57, 7), ("1", 2, 1),
+                          ("None", 56, None), ("6", 0, 6), ("6", 0, 6)])
