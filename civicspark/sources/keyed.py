@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from civicspark.operators.columns import quoted, ticked
 from civicspark.operators.quality import distinct_by_key, require_columns
 from civicspark.session import remove_scratch, scratch_path
+from civicspark.sources.sinks import gather_by
 
 BUCKET = "__bucket"
 
@@ -154,7 +155,7 @@ class KeyedTable:
 
     def _laid_out(self, df: DataFrame) -> DataFrame:
         """A bucket in few files: rebalancing also splits one that is too large for a task."""
-        return df.hint("rebalance", BUCKET)
+        return gather_by(df, BUCKET)
 
     def _record(self, **changes) -> None:
         self.state = replace(self.state, sequence=self.state.sequence + 1, **changes)
