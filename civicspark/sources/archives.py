@@ -26,8 +26,10 @@ from civicspark.operators.quality import cast_to_schema
 from civicspark.session import cut_lineage
 
 BATCH_ROWS = 20_000
-#: Bytes of a member parsed at a time.  A longer record fails the job; pass a larger block.
+#: Bytes a record may be long.  A longer one fails the job; pass a larger block.
 BLOCK_BYTES = 32 << 20
+#: Bytes of a member parsed at a time, unless a record is longer: a task holds several blocks.
+USUAL_BLOCK_BYTES = 1 << 20
 # Spark's names of a store that Arrow knows by another one.
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
 
@@ -70,26 +72,42 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
 def _text_batches(
     path: str, columns: list[str], choose: Callable, block_bytes: int
 ) -> Iterator[pa.RecordBatch]:
-    """The chosen member as batches of text in the order of the wanted columns; empty is NULL."""
+    """The chosen member as batches of text in the order of the wanted columns; empty is NULL.
+
+    Blocks are small, so that what a task holds does not grow with its archive.  A block that
+    does not parse is taken for a part of a longer record: the member is read again in larger
+    blocks, up to ``block_bytes``, past the rows that are out.
+    """
     store, inner = store_of(path)
     with store.open_input_file(inner) as stream, zipfile.ZipFile(stream) as archive:
         member = choose(archive.namelist())
         if member is None or archive.getinfo(member).file_size == 0:
             return
-        try:
-            with archive.open(member) as raw:
-                yield from csv.open_csv(
-                    raw,
-                    csv.ReadOptions(use_threads=False, block_size=block_bytes),
-                    csv.ParseOptions(newlines_in_values=True),
-                    csv.ConvertOptions(
-                        column_types=dict.fromkeys(columns, pa.string()), include_columns=columns,
-                        null_values=[""], strings_can_be_null=True,
-                    ),
-                )
-        except (pa.ArrowInvalid, pa.ArrowKeyError) as error:
-            # A record longer than a block, a ragged line, a missing column: say where.
-            raise ValueError(f"{member} of {path}: {error}") from error
+        block, rows_out = min(USUAL_BLOCK_BYTES, block_bytes), 0
+        while True:
+            try:
+                with archive.open(member) as raw:
+                    passed = 0  # rows of this attempt; those of an earlier one are out already
+                    for rows in csv.open_csv(
+                        raw,
+                        csv.ReadOptions(use_threads=False, block_size=block),
+                        csv.ParseOptions(newlines_in_values=True),
+                        csv.ConvertOptions(
+                            column_types=dict.fromkeys(columns, pa.string()), include_columns=columns,
+                            null_values=[""], strings_can_be_null=True,
+                        ),
+                    ):
+                        fresh = rows.slice(max(rows_out - passed, 0))
+                        passed += len(rows)
+                        rows_out = max(rows_out, passed)
+                        if len(fresh):
+                            yield fresh
+                return
+            except (pa.ArrowInvalid, pa.ArrowKeyError) as error:
+                if isinstance(error, pa.ArrowKeyError) or block >= block_bytes:
+                    # A record longer than a block, a ragged line, a missing column: say where.
+                    raise ValueError(f"{member} of {path}: {error}") from error
+                block = min(8 * block, block_bytes)  # perhaps a long record: once more from the start
 
 
 def _archive_reader(
