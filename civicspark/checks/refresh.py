@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicspark.checks import inputs
-from civicspark.checks.files import _CERTIFICATES, _certificate_rows, _land_documents
+from civicspark.checks.files import _CERTIFICATES, _certificate_rows, _land_csv, _land_documents
 from civicspark.checks.registry import check, derive, table
 from civicspark.functions.names import apply_names, hyphen_lower
 from civicspark.plans.certificates import (
@@ -166,15 +166,15 @@ def _land_sources(spark, sf_dir) -> str:
         geometry="struct('Polygon' AS type, array(array(array(s_acctbal, 1D))) AS coordinates)",
     )
     orders = table(spark, sf_dir, "orders")
-    export_csv(
+    _land_csv(
         orders.select(
             F.col("o_custkey").alias("local_authority_id"),
             F.concat(F.lit("A"), F.col("o_custkey") % 25).alias("local_authority_code"),
             F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("vehicles"),
         ), f"{root}/dft_traffic",
     )
-    export_csv(derive(spark, sf_dir, inputs.SUBSECTORS), f"{root}/ghg_emissions")
-    export_csv(
+    _land_csv(derive(spark, sf_dir, inputs.SUBSECTORS), f"{root}/ghg_emissions")
+    _land_csv(
         customers.select(
             F.concat(F.lit("L"), F.col("c_custkey") * 2).alias("lsoa21_code"), "c_acctbal"
         ), f"{root}/imd_2025",
