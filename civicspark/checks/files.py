@@ -233,7 +233,8 @@ def _csv_field(field: T.StructField) -> Column:
         text = value.cast("string")
     if isinstance(field.dataType, T.StringType):
         doubled = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
-        text = F.when((text == "") | text.rlike('[",\\r\\n]'), doubled).otherwise(text)
+        quoted = (text == "") | text.contains(",") | text.contains('"') | text.contains("\n") | text.contains("\r")
+        text = F.when(quoted, doubled).otherwise(text)
     return F.coalesce(text, F.lit(""))
 
 
